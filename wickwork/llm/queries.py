@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from wickwork.llm import quality
+from wickwork.llm import packing, quality, simhash
 from wickwork.llm.common import table
 
 
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_simhash_near_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_quality_rules,)}
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
+QUERIES = {f.__name__: f for f in (op5_simhash_near_duplicates, op9_quality_rules, op10_best_fit_packing)}
 ORACLE = {"op9_quality_rules": quality.SQL}
