@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import packing, quality, simhash
+from wickwork.llm import mixing, packing, quality, simhash, warc
 from wickwork.llm.common import table
 
 
@@ -12,10 +12,18 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_source_mixing(spark, sf_dir):
+    return mixing.Mix(table(spark, sf_dir, "documents")).result()
+
+
 def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_warc_round_trip(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -24,5 +32,5 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash_near_duplicates, op9_quality_rules, op10_best_fit_packing)}
-ORACLE = {"op9_quality_rules": quality.SQL}
+QUERIES = {f.__name__: f for f in (op3_source_mixing, op5_simhash_near_duplicates, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing)}
+ORACLE = {"op8_warc_round_trip": warc.SQL, "op9_quality_rules": quality.SQL}
