@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import mixing, packing, quality, simhash, warc
+from wickwork.llm import mixing, packing, quality, simhash, suffix, warc
 from wickwork.llm.common import table
 
 
@@ -12,6 +12,10 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_array_dedup(spark, sf_dir):
+    return suffix.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).result()
 
@@ -32,5 +36,5 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op3_source_mixing, op5_simhash_near_duplicates, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op3_source_mixing, op5_simhash_near_duplicates, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing)}
 ORACLE = {"op8_warc_round_trip": warc.SQL, "op9_quality_rules": quality.SQL}
