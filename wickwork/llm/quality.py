@@ -1,13 +1,12 @@
 """Quality rules: cross-document line frequency after per-document base rules.
 
-Lines are normalised (lower case; every run of ASCII characters other than letters becomes one space; trimmed)
-and hashed. For each host, a line is boilerplate if it stands in more than ``min_docs`` documents and in more than
+Lines are normalised (lower case, digits as 0, white space as spaces, trimmed) and hashed; empty ones are left out. For each host, a line is boilerplate if it stands in more than ``min_docs`` documents and in more than
 ``share`` of the host's documents, and at least half of those documents are not copies of each other. Copies are
 told by the longest other line of the document: documents that agree in it count as one group, and the largest
 group must not make up more than half of the line's documents. So a document that is copied a thousand times
 keeps its lines, while a menu that stands over a thousand different articles loses them.
-Boilerplate lines are removed; a document of which less than ``keep_tenths`` tenths of the word characters remain
-is depleted and rejected.
+Boilerplate lines are removed; a document of whose normalised characters less than ``keep_tenths`` tenths remain is
+depleted and rejected.
 
 Null texts have no words and fail the base rules. A null host is a host of its own. A repeated row counts again as
 a document; rows that agree in doc_id and text get the same verdict. Empty tables give empty results. Extra columns
@@ -20,21 +19,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import SPACES, words
+from wickwork.llm.common import SPACES, spaced, words
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_DOCS, SHARE, KEEP_TENTHS = 20, 0.005, 3
 SYMBOLS = "#*$%&|<>"
 
 
-def _solid(text: Column) -> Column:
-    """Code points that are not white space."""
-    return F.length(F.translate(text, SPACES, ""))
+def _without(text: Column, characters: str) -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(""))
+    return text
 
 
 def base_stats(docs: DataFrame) -> DataFrame:
     """docs (with a text column that isn't null) plus the per-document counts. Nothing is shuffled.
 
+    A filter on the counts must also name ``_stay``: its column isn't deterministic, which keeps the filter above the
+    projections; pushed below, it would compute all of them again inside its predicate.
     Repeated windows are found per row by sorting (hash, position) pairs, and only for texts that have any.
     """
     d = docs.withColumn("_w", words(F.col("text")))
@@ -50,13 +52,14 @@ def base_stats(docs: DataFrame) -> DataFrame:
         lambda a, p: F.struct(p.alias("last"), (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).alias("n")),
         lambda a: a["n"],
     )
-    lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     d = d.withColumn("_l", lines)
     return d.withColumns({
-        "word_chars": _solid(F.col("text")).cast("long"),
-        "n_symbols": (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(_without(F.col("text"), SPACES)).cast("long"),
+        "n_symbols": (F.length("text") - F.length(_without(F.col("text"), SYMBOLS))).cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
+        "_stay": F.monotonically_increasing_id(),
     }).drop("_l", "_p")
 
 
@@ -64,15 +67,22 @@ def failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def normal(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), "[\\x00-\\x60\\x7B-\\x7F]+", " "))
+def normal(text: Column) -> Column:
+    """A text, or a line of it, normalised but for trimming."""
+    text = spaced(F.lower(text), but="\n")
+    for c in "123456789":
+        text = F.replace(text, F.lit(c), F.lit("0"))
+    return text
+
+
+def _hash(line: Column) -> Column:
+    return F.xxhash64(F.trim(line))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, host, lines): for each document its lines with letters as (hash, word characters)."""
-    line = lambda x: F.struct(normal(x).alias("t"), _solid(x).alias("n"))
-    d = docs.select(*KEY, "host", F.filter(F.transform(F.split("text", "\n"), line), lambda x: x["t"] != "").alias("a"))
-    return d.select(*KEY, "host", F.transform("a", lambda x: F.struct(x["n"].alias("n"), F.xxhash64(x["t"]).alias("h"))).alias("lines"))
+    """(key, host, lines): for each document its lines that aren't empty as (n characters, hash h)."""
+    lines = F.transform(F.split(normal(F.col("text")), "\n"), lambda x: F.struct(F.length(F.trim(x)).alias("n"), _hash(x).alias("h")))
+    return docs.select(*KEY, "host", F.filter(lines, lambda x: x["n"] > 0).alias("lines"))
 
 
 KEY = ("doc_id", "_t")
@@ -97,23 +107,28 @@ def boilerplate(documents: DataFrame, host: str = "source", min_docs: int = MIN_
 
 
 def removed_lines(documents: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """(doc_id, _t, bad, removed): the boilerplate line hashes of a document and their word characters, each line as often as it stands there."""
+    """(doc_id, _t, bad, removed, total): of documents with boilerplate its hashes and characters, each line as often as it stands there, and the characters of all lines."""
     keyed = _keyed(documents, host)
-    lines = _lines(keyed).select(*KEY, "host", F.inline("lines"))
+    total = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    lines = _lines(keyed).withColumn("total", total).select(*KEY, "host", "total", F.inline("lines"))
     bad = boilerplate(documents, host, **limits).select(F.col("host").alias("_host"), F.col("h").alias("_h"))
     hit = lines.join(bad, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host")))
-    hit = hit.groupBy(*KEY).agg(F.collect_set("h").alias("bad"), F.sum("n").alias("removed"))
+    hit = hit.groupBy(*KEY).agg(F.collect_set("h").alias("bad"), F.sum("n").alias("removed"), F.max("total").alias("total"))
     rows = keyed.groupBy(F.col("doc_id").alias("_id"), F.col("_t").alias("_u")).agg(F.count("*").alias("rows"))
-    return hit.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_u"))).select("doc_id", "_t", "bad", F.expr("removed div rows").alias("removed"))
+    return hit.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_u"))).select("doc_id", "_t", "bad", F.expr("removed div rows").alias("removed"), "total")
+
+
+def _enough(keep_tenths: int) -> Column:
+    return 10 * (F.col("total") - F.col("removed")) >= keep_tenths * F.col("total")
 
 
 def judge(documents: DataFrame, host: str = "source", keep_tenths: int = KEEP_TENTHS, **limits) -> DataFrame:
     """One row per document: the base counts, base_failed, n_removed_chars and kept."""
     stats = base_stats(_keyed(documents, host)).drop("text", "host").withColumn("base_failed", failed())
-    gone = removed_lines(documents, host, **limits).select(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"), "removed")
+    gone = removed_lines(documents, host, **limits).select(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"), "removed", "total")
     d = stats.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_u")), "left")
     removed = F.coalesce("removed", F.lit(0)).cast("long")
-    left = 10 * (F.col("word_chars") - removed) >= keep_tenths * F.col("word_chars")
+    left = F.coalesce(_enough(keep_tenths), F.lit(True))
     return d.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         removed.alias("n_removed_chars"), (~F.col("base_failed") & left).alias("kept"),
@@ -123,11 +138,11 @@ def judge(documents: DataFrame, host: str = "source", keep_tenths: int = KEEP_TE
 def filter_documents(documents: DataFrame, host: str = "source", keep_tenths: int = KEEP_TENTHS, **limits) -> DataFrame:
     """The documents that are kept, all columns, without their boilerplate lines; n_chars, where there is one, follows."""
     text = F.coalesce("text", F.lit(""))
-    d = base_stats(documents.select(F.struct("*").alias("row"), text.alias("text"))).where(~failed()).select("row", "word_chars", F.col("row")["doc_id"].alias("doc_id"), F.xxhash64("text").alias("_t"))
-    gone = removed_lines(documents, host, **limits).select(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"), "bad", "removed")
+    d = base_stats(documents.select(F.struct("*").alias("row"), text.alias("text"))).where(~failed() & (F.col("_stay") >= 0)).select("row", F.col("row")["doc_id"].alias("doc_id"), F.xxhash64("text").alias("_t"))
+    gone = removed_lines(documents, host, **limits).select(F.col("doc_id").alias("_id"), F.col("_t").alias("_u"), "bad", "removed", "total")
     d = d.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_u")), "left")
-    d = d.where(F.coalesce(10 * (F.col("word_chars") - F.col("removed")) >= keep_tenths * F.col("word_chars"), F.lit(True)))
-    kept = F.array_join(F.filter(F.split(F.col("row")["text"], "\n"), lambda x: ~F.array_contains("bad", F.xxhash64(normal(x)))), "\n")
+    d = d.where(F.coalesce(_enough(keep_tenths), F.lit(True)))
+    kept = F.array_join(F.filter(F.split(F.col("row")["text"], "\n"), lambda x: ~F.array_contains("bad", _hash(normal(x)))), "\n")
     new = {"text": F.when(F.col("bad").isNull(), F.col("row")["text"]).otherwise(kept)}
     if "n_chars" in documents.columns:
         new["n_chars"] = F.when(F.col("bad").isNull(), F.col("row")["n_chars"]).otherwise(F.length(kept).cast(documents.schema["n_chars"].dataType))
@@ -144,9 +159,9 @@ rep AS (SELECT doc_id, text, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_i
 cov AS (SELECT doc_id, text, count(DISTINCT i + j) AS n FROM rep, (SELECT unnest(range(5)) AS j) GROUP BY doc_id, text),
 l AS (SELECT doc_id, source, text, unnest(string_split(text, E'\n')) AS l FROM k),
 s AS (SELECT doc_id, text, count(*) - count(DISTINCT l) AS n FROM l WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id, text),
-nl AS (SELECT doc_id, source, text, trim(regexp_replace(lower(l), '[\x00-\x60\x7B-\x7F]+', ' ', 'g')) AS t, length(regexp_replace(l, '[\x20\x09-\x0D]', '', 'g')) AS n FROM l),
-nn AS (SELECT * FROM nl WHERE t <> ''),
-rk AS (SELECT *, n AS m FROM nn),
+nl AS (SELECT doc_id, source, text, trim(regexp_replace(regexp_replace(lower(l), '[\x09\x0B-\x0D]', ' ', 'g'), '[1-9]', '0', 'g')) AS t FROM l),
+nn AS (SELECT *, length(t) AS n FROM nl WHERE t <> ''),
+tot AS (SELECT doc_id, text, sum(n) AS total FROM nn GROUP BY doc_id, text),
 best AS (SELECT a.doc_id, a.source, a.text, a.t, (SELECT max((b.n, b.t)) FROM nn b WHERE b.doc_id = a.doc_id AND b.text = a.text AND b.t <> a.t) AS rest FROM (SELECT DISTINCT doc_id, source, text, t FROM nn) a),
 per AS (SELECT source, t, rest, count(*) AS n FROM best GROUP BY ALL),
 f AS (SELECT source, t, sum(n) AS n, max(n) AS most FROM per GROUP BY ALL HAVING sum(n) > 20 AND 2 * max(n) <= sum(n)),
@@ -155,9 +170,9 @@ bad AS (SELECT f.source, f.t FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.so
 gone AS (SELECT nn.doc_id, nn.text, sum(nn.n) AS n FROM nn JOIN bad ON nn.t = bad.t AND nn.source IS NOT DISTINCT FROM bad.source GROUP BY nn.doc_id, nn.text),
 o AS (SELECT d.doc_id, len(w.words)::BIGINT AS n_words, length(array_to_string(w.words, ''))::BIGINT AS word_chars,
   length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(s.n, 0)::BIGINT AS n_dup_lines,
-  coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed_chars
+  coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(gone.n, 0)::BIGINT AS n_removed_chars, coalesce(tot.total, 0)::BIGINT AS total
   FROM d JOIN w ON d.doc_id = w.doc_id AND d.text = w.text LEFT JOIN s ON d.doc_id = s.doc_id AND d.text = s.text
-  LEFT JOIN cov ON d.doc_id = cov.doc_id AND d.text = cov.text LEFT JOIN gone ON d.doc_id = gone.doc_id AND d.text = gone.text)
-SELECT *, base_failed IS FALSE AND 10 * (word_chars - n_removed_chars) >= 3 * word_chars AS kept
+  LEFT JOIN cov ON d.doc_id = cov.doc_id AND d.text = cov.text LEFT JOIN gone ON d.doc_id = gone.doc_id AND d.text = gone.text LEFT JOIN tot ON d.doc_id = tot.doc_id AND d.text = tot.text)
+SELECT * EXCLUDE total, base_failed IS FALSE AND 10 * (total - n_removed_chars) >= 3 * total AS kept
 FROM (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM o)
 """
