@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import mixing, packing, quality, simhash, suffix, warc
+from wickwork.llm import chat, dom, licences, mixing, packing, quality, simhash, suffix, warc
 from wickwork.llm.common import table
 
 
@@ -16,14 +16,26 @@ def op1_suffix_array_dedup(spark, sf_dir):
     return suffix.dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_licence_scan(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mixing(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).result()
 
 
+def op4_chat_formatting(spark, sf_dir):
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_html_extraction(spark, sf_dir):
+    return dom.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_warc_round_trip(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -36,5 +48,16 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op3_source_mixing, op5_simhash_near_duplicates, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing)}
-ORACLE = {"op8_warc_round_trip": warc.SQL, "op9_quality_rules": quality.SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup, op2_licence_scan, op3_source_mixing, op4_chat_formatting, op5_simhash_near_duplicates,
+        op7_html_extraction, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing,
+    )
+}
+ORACLE = {
+    "op2_licence_scan": licences.SQL,
+    "op4_chat_formatting": chat.SQL,
+    "op8_warc_round_trip": warc.SQL,
+    "op9_quality_rules": quality.SQL,
+}
