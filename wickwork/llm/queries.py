@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wickwork.llm import chat, dom, licences, mixing, packing, quality, simhash, suffix, warc
+from wickwork.llm import chat, chroma, dom, licences, mixing, packing, quality, simhash, suffix, warc
 from wickwork.llm.common import table
 
 
@@ -32,6 +32,11 @@ def op5_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_chroma_fingerprints(spark, sf_dir):
+    recordings = chroma.recordings(table(spark, sf_dir, "embeddings"))
+    return chroma.search(chroma.fingerprints(recordings, "vec_id", "audio"), "vec_id")
+
+
 def op7_html_extraction(spark, sf_dir):
     return dom.main_text(table(spark, sf_dir, "pages"))
 
@@ -52,7 +57,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_suffix_array_dedup, op2_licence_scan, op3_source_mixing, op4_chat_formatting, op5_simhash_near_duplicates,
-        op7_html_extraction, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing,
+        op6_chroma_fingerprints, op7_html_extraction, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing,
     )
 }
 ORACLE = {
