@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,19 +34,41 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder, so that losing executors loses nothing before it.
+def _collect(spark: SparkSession) -> None:
+    """Shuffle files go when their plans are garbage, so that long jobs don't pile them up."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
 
-    The shuffle files behind it are then garbage; a driver collection lets Spark's cleaner remove them now.
-    """
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed once and checkpointed in the shared folder, so that losing executors loses nothing before it. It stays dealt as it was."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     out = df.checkpoint(eager=True)
-    spark.sparkContext._jvm.System.gc()
+    del df
+    _collect(spark)
     return out
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """df, computed once and written as a table in the shared folder: smaller than a checkpoint, but no longer dealt by key. It goes when the program ends."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    atexit.register(_remove, spark, path)
+    _collect(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
 def spaced(text: Column, but: str = "") -> Column:
     """text with a space for each white space character; replace() scans bytes, where translate() looks up each character."""
     for c in SPACES[1:].replace(but, ""):

@@ -156,31 +156,33 @@ class Mix:
         extra = self.taken_blocks(s).where("times > passes").groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("lo", (F.col("lo") + F.col("n")).alias("hi")))).alias("spans"))
         plan = s.join(extra, F.col("row") == F.col("_row"), "left").where((F.col("size") > 0) & ((F.col("passes") > 0) | F.col("spans").isNotNull()))
         plan = plan.groupBy("doc_id", "t").agg(F.collect_list(F.struct("passes", "size", "spans")).alias("plan")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "plan")
+        boxed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_x"))
         if not self.docs.groupBy("doc_id", "t").count().where("count > 1").isEmpty():
-            documents = documents.withColumn("_k", F.xxhash64("text")).dropDuplicates(["doc_id", "_k"]).drop("_k")
-        both = documents.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_t")))
-        names, kinds, fields = documents.columns, both.schema["plan"].dataType, documents.schema
+            boxed = boxed.dropDuplicates(["_k", "_x"])
+        both = boxed.join(plan, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t"))).select("row", "plan")
+        names = documents.columns
         at, count = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                rows, texts = [], []
-                for i, (text, plan) in enumerate(zip(b.column(at), b.column(len(names)), strict=True)):
-                    text = text.as_py()
-                    for p in plan.as_py():
-                        rows += [i] * p["passes"]
-                        texts += [text] * p["passes"]
-                        if p["spans"]:
-                            rows.append(i)
-                            texts.append(text if sum(x["hi"] - x["lo"] for x in p["spans"]) == p["size"] else cut_out(text, [(x["lo"], x["hi"]) for x in p["spans"]]))
-                columns = [b.column(k).take(pa.array(rows, pa.int64())) for k in range(len(names))]
-                columns[at] = pa.array(texts, columns[at].type)
-                if count is not None:
-                    columns[count] = pa.array([len(x) for x in texts], columns[count].type)
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-        assert kinds is not None
-        return both.select(*names, "plan").mapInArrow(run, fields)
+                fields = b.column(0).flatten()
+                for first in range(0, b.num_rows, 500):
+                    rows, texts = [], []
+                    for i in range(first, min(first + 500, b.num_rows)):
+                        text = fields[at][i].as_py()
+                        for p in b.column(1)[i].as_py():
+                            rows += [i] * p["passes"]
+                            texts += [text] * p["passes"]
+                            if p["spans"]:
+                                rows.append(i)
+                                texts.append(text if sum(x["hi"] - x["lo"] for x in p["spans"]) == p["size"] else cut_out(text, [(x["lo"], x["hi"]) for x in p["spans"]]))
+                    columns = [f.take(pa.array(rows, pa.int64())) for f in fields]
+                    columns[at] = pa.array(texts, columns[at].type)
+                    if count is not None:
+                        columns[count] = pa.array([len(x) for x in texts], columns[count].type)
+                    yield pa.RecordBatch.from_arrays(columns, names)
+
+        return both.mapInArrow(run, documents.schema)
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:

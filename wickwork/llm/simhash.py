@@ -12,6 +12,13 @@ of near copies) is salted: its nodes get one of g salts, and each pair of salts
 task the same pruning goes on down to blocks that are compared whole. A task returns a spanning forest of its links,
 never all pairs, and a distributed star contraction joins the forests.
 
+Two bits of 64 is nearly a copy. For near copies at a given similarity (``similar``, ``keep_one``) no tree helps: at 0.8 Jaccard the
+distance is ten bits and more, where random pairs begin at twenty, and every shard would overlap every other. There, texts are
+also linked through passages: runs of words cut where a shingle's hash says so, so that an edit changes one passage and
+leaves the others equal. Each passage links its texts to one of them, drawn by hash and so another one for each passage, and a link
+counts if wide fingerprints (512 bits) agree in the share that the similarity makes likely. A pair of near copies shares
+many passages that no other text has; a passage in a third of all texts costs one link per text.
+
 Null and empty texts have fingerprint zero, linked like any other. A null doc_id takes part; components name the
 smallest id that is not null. Rows repeat in the result as they do in the input. An empty table gives no rows.
 """
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut
+from wickwork.llm.common import cut, keep
 
 #: Fingerprints that the tree is fitted on, at most about this many; all are routed through it.
 SAMPLE = 200_000
@@ -36,11 +43,14 @@ _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
-    import xxhash
+    return _bits(*_shingles(text, shingle))
+
 
+def _shingles(text: str | None, shingle: int) -> tuple[bytes, list[int], list[int]]:
+    """The text normalised, with from and to of its shingles."""
     raw = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
     if not raw:
-        return 0
+        return raw, [], []
     gaps = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
     starts, ends = [0, *(gaps + 1).tolist()], [*gaps.tolist(), len(raw)]
     if len(starts) < shingle:
@@ -48,6 +58,14 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         starts = starts[:1]
     else:
         ends = ends[shingle - 1 :]
+    return raw, starts[: len(ends)], ends
+
+
+def _bits(raw: bytes, starts: list[int], ends: list[int]) -> int:
+    import xxhash
+
+    if not ends:
+        return 0
     of = xxhash.xxh64_intdigest
     counts, step = np.zeros(2048, np.int64), 1 << 16
     for at in range(0, len(ends), step):
@@ -226,17 +244,81 @@ def near_duplicates(documents: DataFrame, **options) -> DataFrame:
     return cluster(documents, **options).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _sketch(text: str | None, shingle: int, run: int) -> tuple[int, list[int], list[int]]:
+    """(fingerprint, eight words of the wide fingerprint, keys of the passages)."""
+    import xxhash
+
+    raw, starts, ends = _shingles(text, shingle)
+    of = xxhash.xxh64_intdigest
+    hashes = np.array([of(raw[a:b], 42) for a, b in zip(starts, ends, strict=True)], np.uint64)
+    wide = []
+    for k in _WIDE:
+        counts = np.zeros(2048, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            h = hashes[at : at + (1 << 16)] * k
+            h ^= h >> np.uint64(31)
+            counts += np.bincount((h.view(np.uint8).reshape(-1, 8) + (np.arange(8) << 8)).ravel(), minlength=2048)
+        wide.append(int(np.packbits(2 * (counts.reshape(8, 256) @ _BITS).ravel() > len(hashes), bitorder="little").view(np.int64)[0]))
+    cuts = [0, *(np.flatnonzero(hashes % np.uint64(run) == 0) + 1).tolist(), len(hashes)]
+    keys = {of(raw[starts[a] : ends[b - 1]], 42) for a, b in zip(cuts, cuts[1:], strict=False) if a < b}
+    return _bits(raw, starts, ends), wide, sorted(keys)
+
+
+_WIDE = np.random.default_rng(97).integers(0, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketches(documents: DataFrame, shingle: int = 5, run: int = 24) -> DataFrame:
+    """(doc_id, t, fp, wide, passages) per document."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_sketch(x.as_py(), shingle, run) for x in b.column(2)]
+            fp = np.array([f[0] for f in found], np.uint64).view(np.int64)
+            keys = [np.array(f[2], np.uint64).view(np.int64) for f in found]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "t", "fp", "wide", "passages"])
+
+    rows = documents.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("string"))
+    return rows.mapInArrow(work, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, t long, fp long, wide array<long>, passages array<long>")
+
+
+def apart(similarity: float) -> float:
+    """The share of differing fingerprint bits up to which a pair counts at a Jaccard similarity: what it gives on average, and two standard deviations more for 512 bits."""
+    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return p + 2 * float(np.sqrt(p * (1 - p) / 512))
+
+
+def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 2, **search) -> DataFrame:
+    """(doc_id, t, root) per document: root is equal for documents that links connect."""
+    s = keep(sketches(documents, shingle))
+    texts = keep(s.groupBy("t").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("passages").alias("passages")))
+    heads = texts.groupBy("fp").agg(F.min("t").alias("head"))
+    close = texts.select("t", F.col("fp").alias("f")).join(heads, F.col("f") == F.col("fp")).where("t <> head").select(F.col("t").alias("u"), F.col("head").alias("v"))
+    near = links(heads, radius, **search)
+    for end in ("u", "v"):
+        near = near.join(heads.select(F.col("fp").alias("f"), F.col("head").alias("h")), F.col(end) == F.col("f")).drop("f", end).withColumnRenamed("h", end)
+    held = texts.select("t", F.explode("passages").alias("p"))
+    drawn = held.groupBy(F.col("p").alias("q")).agg(F.min(F.struct(F.xxhash64("p", "t").alias("o"), "t")).alias("r"), F.count("*").alias("c")).where("c > 1").select("q", F.col("r.t").alias("r"))
+    pairs = held.join(drawn, F.col("p") == F.col("q")).where("t <> r").select(F.greatest("t", "r").alias("u"), F.least("t", "r").alias("v")).distinct()
+    for end in ("u", "v"):
+        pairs = pairs.join(texts.select(F.col("t").alias(f"t_{end}"), F.col("wide").alias(f"w_{end}")), F.col(end) == F.col(f"t_{end}"))
+    differ = F.aggregate(F.zip_with("w_u", "w_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
+    pairs = pairs.where(differ <= int(512 * apart(similarity))).select("u", "v")
+    roots = components(close.union(near.select("u", "v")).union(pairs))
+    return s.select("doc_id", "t").join(roots, F.col("t") == F.col("node"), "left").select("doc_id", "t", F.coalesce("root", "t").alias("root"))
+
+
 def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """One document of each component, all columns: its smallest doc_id (of repeated rows, one)."""
-    c = cut(cluster(documents, **options))
+    """One document of each group of similar ones, all columns: the one with the smallest doc_id (of repeated rows, one)."""
+    c = keep(similar(documents, **options))
     by = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "t")
-    best = c.groupBy(F.col("component_id").alias("c")).agg(F.min(by).alias("best"))
-    rest = c.join(best, F.col("component_id").eqNullSafe(F.col("c"))).where(by != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
-    kept = documents.join(rest, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_t")), "left_anti")
+    best = c.groupBy(F.col("root").alias("c")).agg(F.min(by).alias("best"))
+    rest = c.join(best, F.col("root") == F.col("c")).where(by != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
+    boxed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_x"))
+    kept = boxed.join(rest, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t")), "left_anti")
     repeated = c.groupBy("doc_id", "t").count().where("count > 1").join(best, F.col("best").eqNullSafe(by), "left_semi")
-    if repeated.isEmpty():
-        return kept
-    return kept.withColumn("_t", F.xxhash64("text")).dropDuplicates(["doc_id", "_t"]).drop("_t")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates(["_k", "_x"])
+    return kept.select("row.*")
 
 
 def brute(texts: dict[int, str | None], radius: int = 2) -> dict[int, tuple[str, int]]:
