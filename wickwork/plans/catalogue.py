@@ -1,4 +1,256 @@
-"""Queries by name, with the SQL that gives the same rows."""
+"""Queries by name, with the SQL that gives the same rows.
+
+The test tables hold no candles, so candles are made of ``events``: a symbol per event type, the value as price, the
+number of events as volume.
+"""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wickwork.functions import schema as S
+from wickwork.functions.timeframe import bounds, expected_pages_column, micros, seconds
+from wickwork.operators import impute, sparsity
+from wickwork.operators import vif as V
+from wickwork.operators.indicators import REGISTRY, add_indicators, output_name
+from wickwork.operators.indicators.synthetic import synthetic
+from wickwork.plans import sql
+from wickwork.sources import store
+from wickwork.sources.candles import from_events
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(oracle: str | None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE[f.__name__] = oracle
+        return f
+
+    return keep
+
+
+def candles(spark: SparkSession, sf_dir: str, timeframe: str = "1h") -> DataFrame:
+    return from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), timeframe)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+@query(f"{sql.candles('1h')} SELECT * FROM candles")
+def candles_1h(spark, sf_dir):
+    return candles(spark, sf_dir)
+
+
+def _ranged(spark, sf_dir, start, end, timeframe="1h"):
+    return store.in_range(candles(spark, sf_dir, timeframe), *bounds(start, end, timeframe))
+
+
+@query(f"{sql.candles('1h')} SELECT * FROM candles WHERE timestamp BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-09 17:00:00'")
+def range_bounded(spark, sf_dir):
+    return _ranged(spark, sf_dir, "2024-01-05", "2024-01-09T17:00:00Z")
+
+
+@query(f"{sql.candles('1h')} SELECT * FROM candles WHERE timestamp <= TIMESTAMP '2024-01-03 23:00:00'")
+def range_end_floor(spark, sf_dir):
+    return _ranged(spark, sf_dir, None, "2024-01-03 00:00:00")
+
+
+@query(f"{sql.candles('6h')} SELECT * FROM candles WHERE timestamp BETWEEN TIMESTAMP '2024-01-29 00:30:00' AND TIMESTAMP '2024-02-01 18:00:00'")
+def range_month_edge(spark, sf_dir):
+    return _ranged(spark, sf_dir, "2024-01-29 00:30", "2024-02-01", "6h")
+
+
+_VERSIONS = "v AS (SELECT event_type AS symbol, '1h' AS timeframe, time_bucket(INTERVAL 1 hour, ts) AS timestamp, value AS close, event_id AS ingest_seq FROM events)"
+
+
+def _versions(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select(F.col("event_type").alias("symbol"), F.lit("1h").alias("timeframe"), F.window("ts", "1 hour")["start"].alias("timestamp"), F.col("value").alias("close"), F.col("event_id").alias("ingest_seq"))
+
+
+@query(f"WITH {_VERSIONS} SELECT symbol, timeframe, timestamp, arg_max(close, ingest_seq) AS close, max(ingest_seq) AS ingest_seq FROM v GROUP BY ALL")
+def dedupe_keep_last(spark, sf_dir):
+    return S.keep_last(_versions(spark, sf_dir))
+
+
+@query(f"WITH {_VERSIONS} SELECT symbol, timeframe, timestamp, arg_min(close, ingest_seq) AS close, min(ingest_seq) AS ingest_seq FROM v GROUP BY ALL")
+def dedupe_keep_first(spark, sf_dir):
+    return S.keep_first(_versions(spark, sf_dir))
+
+
+def _folder(spark: SparkSession) -> str:
+    """A fresh folder for a query's own store, on what all executors see."""
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="wickwork-")
+    return f"{base.rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+def _stored(spark, sf_dir, timeframe="1h"):
+    folder = _folder(spark)
+    store.save(candles(spark, sf_dir, timeframe), folder)
+    return folder
+
+
+def _all(spark, folder):
+    return store._candles(S.keep_last(store.stored(spark, folder)))
+
+
+@query(f"{sql.candles('1h')} SELECT * FROM candles")
+def store_roundtrip(spark, sf_dir):
+    return _all(spark, _stored(spark, sf_dir))
+
+
+@query(
+    f"{sql.candles('1h')} SELECT symbol, timeframe, timestamp, open, high, low, CASE WHEN timestamp >= TIMESTAMP '2024-01-20' THEN close + 1 ELSE close END AS close, volume FROM candles"
+)
+def store_upsert(spark, sf_dir):
+    folder = _stored(spark, sf_dir)
+    late = candles(spark, sf_dir).where("timestamp >= timestamp_ntz'2024-01-20'").withColumn("close", F.col("close") + 1)
+    store.save(late, folder)
+    return _all(spark, folder)
+
+
+@query(f"{sql.candles('6h')} SELECT * FROM candles WHERE symbol = 'purchase' AND year(timestamp) = 2024 AND month(timestamp) = 1")
+def load_year_month(spark, sf_dir):
+    return store.load(spark, _stored(spark, sf_dir, "6h"), "purchase", "6h", 2024, 1)
+
+
+@query(f"{sql.candles('1h')} SELECT * FROM candles WHERE hour(timestamp) % 2 = 1 QUALIFY row_number() OVER (PARTITION BY symbol, timeframe ORDER BY timestamp DESC) <= 50")
+def latest_n_exclude(spark, sf_dir):
+    c = candles(spark, sf_dir)
+    return store.newest(c, 50, c.where("hour(timestamp) % 2 = 0"))
+
+
+@query(f"{sql.filled('1h')} SELECT * FROM filled")
+def ffill_impute(spark, sf_dir):
+    return impute.ffill(candles(spark, sf_dir), "1h")
+
+
+@query(f"{sql.filled('1h')} SELECT symbol, timeframe, count(*) FILTER (is_imputed) AS imputed FROM filled GROUP BY ALL")
+def imputed_count(spark, sf_dir):
+    return impute.imputed_count(impute.ffill(candles(spark, sf_dir), "1h"))
+
+
+@query(f"{sql.filled('6h')} SELECT symbol, timeframe, epoch_ms(timestamp) AS timestamp, close, volume FROM filled")
+def ffill_epoch_millis(spark, sf_dir):
+    return impute.as_epoch_millis(impute.ffill(candles(spark, sf_dir, "6h"), "6h")).select("symbol", "timeframe", "timestamp", "close", "volume")
+
+
+def _assets(spark, sf_dir):
+    both = candles(spark, sf_dir, "1h").unionByName(candles(spark, sf_dir, "5m"))
+    return both.withColumn("symbol", F.concat("symbol", F.lit("-usd")))
+
+
+@query(sql.SPARSITY)
+def sparsity_report(spark, sf_dir):
+    return sparsity.report(_assets(spark, sf_dir), [" CLICK-usd", "view-usd", "error-usd", ""])
+
+
+@query(
+    f"{sql.candles('1h')}, d AS (SELECT symbol, timeframe, timestamp, date_diff('second', lag(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp), timestamp) AS s FROM candles) "
+    "SELECT symbol || '-usd' AS symbol, timeframe, timestamp, s // 3600 - 1 AS missing, (s - 3600)::DOUBLE AS extra_seconds FROM d WHERE s > 3600"
+)
+def gap_list(spark, sf_dir):
+    return sparsity.gaps(_assets(spark, sf_dir).where("timeframe = '1h'"))
+
+
+@query(f"{sql.synthetic('1h', 6)} SELECT symbol, timestamp, high_6 AS high_6h, low_6 AS low_6h, close_6 AS close_6h FROM synthetic")
+def synthetic_ohlc(spark, sf_dir):
+    return synthetic(candles(spark, sf_dir), "6h", "1h").select("symbol", "timestamp", "high_6h", "low_6h", "close_6h")
+
+
+def _indicator(spark, sf_dir, name, timeframe="1h", **params) -> DataFrame:
+    column = output_name(REGISTRY[name], params, timeframe)
+    d = add_indicators(candles(spark, sf_dir), [(name, timeframe, params)], "1h", ordered=False)
+    fields = REGISTRY[name].fields
+    out = [F.round(f"{column}.{f}", 6).alias(f) for f in fields] or [F.round(column, 6).alias(column)]
+    return d.select("symbol", "timestamp", *out)
+
+
+def _register(name: str, query_name: str, timeframe: str = "1h", **params) -> None:
+    def run(spark, sf_dir):
+        return _indicator(spark, sf_dir, name, timeframe, **params)
+
+    run.__name__ = query_name
+    query(sql.indicator(name, output_name(REGISTRY[name], params, timeframe), seconds(timeframe) // 3600, REGISTRY[name].defaults | params))(run)
+
+
+for _name in REGISTRY:
+    _register(_name, f"ind_{_name}")
+_register("rsi", "ind_rsi_6h_synthetic", "6h")
+_register("mom", "ind_mom_6h_synthetic", "6h")
+
+
+@query(sql.BATCH)
+def ind_batch(spark, sf_dir):
+    specs = [("mom", "1h", {}), ("roc", "1h", {"timeperiod": 5}), ("willr", "1h", {}), ("bbands", "1h", {}), ("mom", "6h", {"timeperiod": 3}), ("wma", "2h", {"timeperiod": 8})]
+    d = add_indicators(candles(spark, sf_dir), specs, "1h", ordered=False)
+    names = ["mom_10_1h", "roc_5_1h", "willr_14_1h", "mom_3_6h", "wma_8_2h"]
+    return d.select("symbol", "timestamp", *(F.round(c, 6).alias(c) for c in names), F.round("bbands_20_2_0_2_0_1h.upperband", 6).alias("upperband"))
+
+
+def _numbers(spark, sf_dir, *columns) -> DataFrame:
+    d = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return d.withColumn("net", F.col("l_extendedprice") * (1 - 4 * F.col("l_discount"))).select(*columns)
+
+
+_K3 = ("l_quantity", "l_extendedprice", "net")
+
+
+@query(sql.vif2("l_quantity", "l_extendedprice"))
+def vif_matrix_k2(spark, sf_dir):
+    return _rounded(V.vif(_numbers(spark, sf_dir, "l_quantity", "l_extendedprice")))
+
+
+@query(sql.vif3(*_K3))
+def vif_matrix_k3(spark, sf_dir):
+    return _rounded(V.vif(_numbers(spark, sf_dir, *_K3)))
+
+
+@query(sql.vif3(*_K3, having="WHERE \"VIF\" >= 1.5"))
+def vif_threshold(spark, sf_dir):
+    return _rounded(V.vif(_numbers(spark, sf_dir, *_K3), threshold=1.5))
+
+
+@query(sql.vif3(*_K3))
+def vif_streaming(spark, sf_dir):
+    return _rounded(V.vif(_numbers(spark, sf_dir, *_K3), method="streaming"))
+
+
+@query(sql.vif3(*_K3))
+def vif_parallel(spark, sf_dir):
+    return _rounded(V.vif(_numbers(spark, sf_dir, *_K3), method="parallel"))
+
+
+@query(sql.BATCH_PLAN)
+def batch_plan(spark, sf_dir):
+    """Pages and candles to expect between the bounds of each series, for two timeframes."""
+    c = candles(spark, sf_dir).groupBy("symbol").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi"))
+    t = c.withColumn("t", F.explode(F.array(*(F.struct(F.lit(k).alias("timeframe"), F.lit(seconds(k)).alias("s")) for k in ("5m", "1h")))))
+    lo, hi, s = micros(F.col("lo")), micros(F.col("hi")), F.col("t.s")
+    return t.select("symbol", "t.timeframe", expected_pages_column(lo, hi, s).alias("pages"), F.floor((hi - lo) / 1_000_000 / s).cast("long").alias("candles"))
+
+
+FEATURES = [(n, t, {"timeperiod": p}) for n in ("rsi", "mom", "roc", "willr") for t in ("1h", "2h", "6h") for p in (7, 14)]
+
+
+@query(None)
+def pipeline_features_vif(spark, sf_dir):
+    """Candles, gap fill, 24 indicator requests, and the factors of the features: what to keep is where VIF < 5."""
+    filled = impute.ffill(candles(spark, sf_dir), "1h").drop("is_imputed")
+    d = add_indicators(filled, FEATURES, "1h", ordered=False)
+    return _rounded(V.vif(d.select(*(output_name(REGISTRY[n], p, t) for n, t, p in FEATURES)), method="parallel"))
+
+
+@query(f"{sql.SYMBOLS} ")
+def symbol_paths(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey"), F.upper(F.concat_ws("/", F.substring("p_brand", 1, 5), F.col("p_type"))).alias("symbol"))
+    return p.select("p_partkey", store.symbol_path_column(F.col("symbol")).alias("path"))
