@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, partitions
+from wickwork.llm.common import cut, keep, partitions
 
 LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 10_000, 1 << 20
 _RNG = np.random.default_rng(20_240_229)
@@ -81,8 +81,9 @@ def segments(buf: np.ndarray, bounds: list[tuple[int, int]], length: int = LENGT
     return starts, count, h[at[starts]]
 
 
-def occurrences(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(anchor, seg, rid, doc_id, start, n) of every segment; base has rid, doc_id and z."""
+def occurrences(base: DataFrame, length: int = LENGTH, gram: int = GRAM, whole: bool = True) -> DataFrame:
+    """(anchor, seg, rid, at) of every segment of base (rid, z), or its anchor alone; at is start << 8 | windows."""
+    names = ["anchor", "seg", "rid", "at"] if whole else ["anchor"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -98,19 +99,18 @@ def occurrences(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
                 nonlocal size
                 raw = b"".join(parts)
                 starts, count, anchor = segments(np.frombuffer(raw, np.uint8), [(x, y) for _, _, x, y in owners], length, gram)
-                seg = np.array([xxhash.xxh64_intdigest(raw[s:e]) for s, e in zip(starts.tolist(), (starts + count + length - 1).tolist(), strict=True)], np.uint64)
-                o = np.array(owners, np.int64).reshape(-1, 4)
-                k = np.searchsorted(o[:, 2], starts, "right") - 1
-                rows = pa.array(o[k, 0])
+                columns = [pa.array(anchor.view(np.int64))]
+                if whole:
+                    seg = np.array([xxhash.xxh64_intdigest(raw[s:e]) for s, e in zip(starts.tolist(), (starts + count + length - 1).tolist(), strict=True)], np.uint64)
+                    o = np.array(owners, np.int64).reshape(-1, 4)
+                    k = np.searchsorted(o[:, 2], starts, "right") - 1
+                    columns += [pa.array(seg.view(np.int64)), b.column(0).take(pa.array(o[k, 0])), pa.array((starts - o[k, 2] + o[k, 1]) << 8 | count)]
                 parts.clear()
                 owners.clear()
                 size = 0
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view(np.int64)), pa.array(seg.view(np.int64)), b.column(0).take(rows), b.column(1).take(rows), pa.array((starts - o[k, 2] + o[k, 1])), pa.array(count.astype(np.int32))],
-                    ["anchor", "seg", "rid", "doc_id", "start", "n"],
-                )
+                return pa.RecordBatch.from_arrays(columns, names)
 
-            for i, z in enumerate(b.column(2)):
+            for i, z in enumerate(b.column(1)):
                 raw = unpack(z.as_py())
                 for at in range(0, len(raw) - length + 1, PIECE):
                     part = raw[at : at + PIECE + length - 1]
@@ -122,76 +122,88 @@ def occurrences(base: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
             if owners:
                 yield flush()
 
-    kind = base.schema["doc_id"].dataType.simpleString()
-    return base.select("rid", "doc_id", "z").mapInArrow(run, f"anchor long, seg long, rid long, doc_id {kind}, start long, n int")
+    return base.select("rid", "z").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffix array by the first depth symbols, with ties in any order; rank of each suffix, equal for ties)."""
-    n = len(s)
-    padded = np.concatenate([s, np.zeros(8, np.uint8)])
+SEED = 8  # symbols that fit in one sort key
+
+
+def suffix_order(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix array by the first depth symbols (ties in any order), and for the first min(depth, SEED) symbols
+    alone, packed: the sorted keys and where in the array they change.
+
+    Prefix doubling; only suffixes that are not alone with their prefix are sorted again.
+    """
+    n, known = len(s), min(depth, SEED)
+    padded = np.concatenate([s, np.zeros(known, np.uint8)])
     key = np.zeros(n, np.uint64)
-    for i in range(8):
+    for i in range(known):
         key = key << np.uint64(8) | padded[i : n + i].astype(np.uint64)
-    known = 8
-    while True:
-        order = np.argsort(key)
-        ordered = key[order]
-        new = np.empty(n, np.int64)
-        new[:1] = 0
-        np.cumsum(ordered[1:] != ordered[:-1], out=new[1:])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        if known >= depth or not n or new[-1] == n - 1:
-            return order, rank
+    order = np.argsort(key)
+    keys = key[order]
+    new = np.ones(n, bool)
+    new[1:] = keys[1:] != keys[:-1]
+    starts = np.flatnonzero(new)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
+    places = np.flatnonzero(~(new & np.append(new[1:], True)))
+    while known < depth and len(places):
         step = min(known, depth - known)
-        after = np.zeros(n, np.int64)
-        after[: n - step] = rank[step:] + 1
-        key = rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64)
+        sub = order[places]
+        after = sub + step
+        key = rank[sub] << np.int64(32) | np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        o = np.argsort(key)
+        key, sub = key[o], sub[o]
+        order[places] = sub
+        fresh = np.ones(len(sub), bool)
+        fresh[1:] = key[1:] != key[:-1]
+        begin = np.flatnonzero(fresh)
+        rank[sub] = np.repeat(places[begin], np.diff(np.append(begin, len(sub))))
+        places = places[~(fresh & np.append(fresh[1:], True))]
         known += step
+    return order, keys, starts
 
 
 def prefix_classes(s: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix array, bounds): bounds[i] is False where suffixes i - 1 and i of the array share depth symbols at least.
 
-    s holds symbols under 256; 0 separates texts and stands at the end. Intervals that hold a 0 are not extended, so a
+    The search begins with the intervals of all strings of SEED symbols, which come with the sort. s holds symbols
+    under 256; 0 separates texts and stands at the end. Intervals of strings with a 0 are not extended, so a
     suffix with a 0 in its first depth symbols may seem to agree with the next one; callers skip those.
     """
     n = len(s)
-    order, _ = suffix_order(s, depth)
+    order, keys, starts = suffix_order(s, depth)
     bwt = s[order - 1]
     by_symbol = np.argsort(bwt, kind="stable")
     step = np.empty(n, np.int64)  # from a suffix to the one that starts a symbol before
     step[by_symbol] = np.arange(n)
     first = bwt[by_symbol]
     bounds = np.zeros(n + 1, bool)
-    bounds[0] = bounds[n] = True
-    ends = np.flatnonzero(first[1:] != first[:-1]) + 1
-    los, his = np.concatenate([[0], ends]), np.concatenate([ends, [n]]) - 1
-    bounds[ends] = True
-    keep = first[los] > 0
-    los, his = los[keep], his[keep]
-    for _ in range(1, depth):
+    bounds[starts] = bounds[n] = True
+    los, his = starts, np.append(starts[1:], n) - 1
+    whole = np.ones(len(starts), bool)
+    for i in range(min(depth, SEED)):
+        whole &= (keys[starts] >> np.uint64(8 * i) & np.uint64(255)) > 0
+    los, his = los[whole], his[whole]
+    for _ in range(min(depth, SEED), depth):
         if not len(los):
             break
         one = los == his
         single = step[los[one]]
-        single = single[first[single] > 0]
+        single = single[(first[single] > 0) & ~bounds[single + 1]]
         lo, hi = los[~one], his[~one]
-        size = hi - lo + 1
-        owner = np.repeat(np.arange(len(lo)), size)
-        member = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size) + lo[owner]
-        key = np.sort(owner * np.int64(n) + step[member])
-        owner, at = np.divmod(key, np.int64(n))
-        symbol = first[at]
-        cutoff = np.flatnonzero((owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1]))
-        begin = np.concatenate([[0], cutoff + 1]) if len(at) else cutoff
-        end = np.append(cutoff, len(at) - 1) if len(at) else cutoff
-        lo, hi = at[begin], at[end]
-        keep = first[lo] > 0
-        los, his = np.concatenate([single, lo[keep]]), np.concatenate([single, hi[keep]])
-        fresh = ~bounds[his + 1]
-        los, his = los[fresh], his[fresh]
+        if len(lo):
+            size = hi - lo + 1
+            owner = np.repeat(np.arange(len(lo)), size)
+            member = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size - lo, size)
+            key = np.sort(owner * np.int64(n) + step[member])
+            owner, at = np.divmod(key, np.int64(n))
+            symbol = first[at]
+            cutoff = np.flatnonzero((owner[1:] != owner[:-1]) | (symbol[1:] != symbol[:-1]))
+            lo, hi = at[np.concatenate([[0], cutoff + 1])], at[np.append(cutoff, len(at) - 1)]
+            keep = (first[lo] > 0) & ~bounds[hi + 1]
+            lo, hi = lo[keep], hi[keep]
+        los, his = np.concatenate([single, lo]), np.concatenate([single, hi])
         bounds[his + 1] = True
     return order, bounds[:n]
 
@@ -201,19 +213,18 @@ def repeated_windows(texts: list[bytes], length: int = LENGTH) -> list[np.ndarra
     sizes = np.array([len(t) + 1 for t in texts])
     raw = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     ends = np.cumsum(sizes)
-    used = np.unique(raw)
-    symbols = np.zeros(256, np.uint8)
-    symbols[used] = np.arange(1, len(used) + 1) if len(used) < 256 else np.arange(256)
-    s = symbols[raw]
+    used = np.bincount(raw, minlength=256) > 0
+    s = np.cumsum(used).astype(np.uint8)[raw] if not used.all() else raw.copy()
     s[ends - 1] = 0
     order, bounds = prefix_classes(s, length)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    left = ends[owner] - 1 - np.arange(len(s))  # bytes to the end of the text
-    valid = (left >= length)[order]
     starts = np.flatnonzero(bounds)
-    place = np.where(valid, order, len(s))
-    least = np.repeat(np.minimum.reduceat(place, starts), np.diff(np.append(starts, len(s))))
-    gone = np.sort(order[valid & (place > least)])
+    count = np.diff(np.append(starts, len(s)))
+    starts, count = starts[count > 1], count[count > 1]
+    at = np.concatenate([[0], np.cumsum(count)])
+    place = order[np.arange(at[-1]) + np.repeat(starts - at[:-1], count)]
+    place = np.where(ends[np.searchsorted(ends, place, "right")] - 1 - place >= length, place, len(s))
+    least = np.repeat(np.minimum.reduceat(place, at[:-1]), count) if len(starts) else place
+    gone = np.sort(place[(place < len(s)) & (place > least)])
     cuts = np.searchsorted(gone, ends[:-1])
     return [g - b for g, b in zip(np.split(gone, cuts), ends - sizes, strict=True)]
 
@@ -229,70 +240,68 @@ def _spans(offsets: np.ndarray, length: int) -> list[int]:
 
 def spans_by_row(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, per_shard: int = PER_SHARD) -> DataFrame:
     """(rid, spans): the byte spans (from and to by turns, not merged) that go, of rows that lose any."""
-    spark = base.sparkSession
+    if length - gram + 1 > 255:
+        raise ValueError("at most 255 windows share a minimizer")
+    twice = keep(occurrences(base, length, gram, whole=False).groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where("c > 1").select("a"))
     occ = occurrences(base, length, gram)
-    twice = occ.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where("c > 1").select("a")
-    occ = cut(occ.join(twice, F.col("anchor") == F.col("a")).drop("a"))
-    segs = occ.groupBy("anchor", "seg").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid", "start", "n")).alias("f"))
-    segs = cut(segs.select("anchor", "seg", "f.doc_id", "f.rid", "f.start", "f.n"))
+    occ = keep(occ.join(twice, F.col("anchor") == F.col("a")).drop("a"))
+    segs = keep(occ.groupBy("anchor", "seg").agg(F.min(F.struct("rid", "at")).alias("f")).select("anchor", "seg", "f.rid", "f.at"))
     many = segs.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where(F.col("c") > hot).select("a", F.lit(True).alias("hot"))
     shards = max(1, -(-segs.count() // per_shard))
-    flagged = segs.join(many, F.col("anchor") == F.col("a"), "left").select("anchor", "seg", "rid", "start", "n", F.coalesce("hot", F.lit(False)).alias("hot"))
-    lists = flagged.groupBy(F.col("rid").alias("r")).agg(F.collect_list(F.struct("anchor", "seg", "start", "n", "hot")).alias("segs"))
-    texts = base.select("rid", "doc_id", "z").join(lists, F.col("rid") == F.col("r"))
-    kind = base.schema["doc_id"].dataType.simpleString()
+    flagged = segs.join(many, F.col("anchor") == F.col("a"), "left").select("anchor", "seg", "rid", "at", F.coalesce("hot", F.lit(False)).alias("hot"))
+    lists = flagged.groupBy(F.col("rid").alias("r")).agg(F.collect_list(F.struct("anchor", "seg", "at", "hot")).alias("segs"))
+    texts = base.select("rid", "z").join(lists, F.col("rid") == F.col("r")).select("rid", "z", "segs")
 
     def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
         import zstandard
 
-        names = ["shard", "anchor", "seg", "doc_id", "rid", "start", "off", "text"]
+        kinds = {"shard": pa.int64(), "anchor": pa.int64(), "seg": pa.int64(), "rid": pa.int64(), "start": pa.int64(), "off": pa.int32(), "text": pa.binary()}
         for b in batches:
             unpack = zstandard.ZstdDecompressor().decompress
             rows: list[tuple] = []
 
             def out() -> pa.RecordBatch:
-                k, shard, anchor, seg, start, off, text = zip(*rows, strict=True)
-                take = pa.array(k)
-                columns = [pa.array(shard, pa.int64()), pa.array(anchor, pa.int64()), pa.array(seg, pa.int64()), b.column(1).take(take), b.column(0).take(take), pa.array(start, pa.int64()), pa.array(off, pa.int32()), pa.array(text, pa.binary())]
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
                 rows.clear()
-                return pa.RecordBatch.from_arrays(columns, names)
+                return pa.RecordBatch.from_arrays(columns, list(kinds))
 
-            for i, (z, wanted) in enumerate(zip(b.column(2), b.column(3), strict=True)):
-                raw = unpack(z.as_py())
+            for rid, z, wanted in zip(*b.columns, strict=True):
+                rid, raw = rid.as_py(), unpack(z.as_py())
                 for x in wanted.as_py():
-                    text = raw[x["start"] : x["start"] + x["n"] + length - 1]
+                    start, n, anchor = x["at"] >> 8, x["at"] & 255, x["anchor"]
+                    text = raw[start : start + n + length - 1]
                     if x["hot"]:
-                        for o in range(x["n"]):
+                        for o in range(n):
                             one = text[o : o + length]
-                            rows.append((i, xxhash.xxh64_intdigest(one) % shards, x["anchor"], x["seg"], x["start"], o, one))
+                            rows.append((xxhash.xxh64_intdigest(one) % shards, anchor, x["seg"], rid, start, o, one))
                     else:
-                        rows.append((i, (x["anchor"] ^ x["anchor"] >> 32) % shards, x["anchor"], x["seg"], x["start"], 0, text))
+                        rows.append(((anchor ^ anchor >> 32) % shards, anchor, x["seg"], rid, start, 0, text))
                     if len(rows) >= 20_000:
                         yield out()
             if rows:
                 yield out()
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(none=pdf["doc_id"].isna()).sort_values(["none", "doc_id", "rid", "start", "off"])
+        pdf = pdf.sort_values(["rid", "start", "off"])
         found = repeated_windows(pdf["text"].tolist(), length)
         spans = [_spans(g + o, length) for g, o in zip(found, pdf["off"], strict=True)]
         return pd.DataFrame({"anchor": pdf["anchor"], "seg": pdf["seg"], "spans": spans})[[bool(x) for x in spans]]
 
-    shard_rows = texts.select("rid", "doc_id", "z", "segs").mapInArrow(slices, f"shard long, anchor long, seg long, doc_id {kind}, rid long, start long, off int, text binary")
-    own = shard_rows.groupBy("shard").applyInPandas(search, "anchor long, seg long, spans array<int>")
-    own = own.groupBy("anchor", "seg").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    first = segs.select(F.col("anchor").alias("a"), F.col("seg").alias("s"), F.col("rid").alias("r"), F.col("start").alias("at"))
-    mine = segs.join(own, ["anchor", "seg"]).select("rid", F.expr("transform(spans, x -> start + x)").alias("spans"))
-    later = occ.join(first, (F.col("anchor") == F.col("a")) & (F.col("seg") == F.col("s"))).where("rid <> r or start <> at")
-    later = later.select("rid", F.expr(f"array(start, start + n + {length - 1})").alias("spans"))
-    assert partitions(spark)
-    return mine.union(later).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    own = keep(texts.mapInArrow(slices, "shard long, anchor long, seg long, rid long, start long, off int, text binary").groupBy("shard").applyInPandas(search, "anchor long, seg long, spans array<int>"))
+    first = segs.select(F.col("anchor").alias("a"), F.col("seg").alias("s"), F.col("rid").alias("r"), F.col("at").alias("b"))
+    mine = segs.join(own, ["anchor", "seg"]).select("rid", F.expr("transform(spans, x -> shiftright(at, 8) + x)").alias("spans"))
+    later = occ.join(first, (F.col("anchor") == F.col("a")) & (F.col("seg") == F.col("s"))).where("rid <> r or at <> b")
+    later = later.select("rid", F.expr(f"array(shiftright(at, 8), shiftright(at, 8) + (at & 255) + {length - 1})").alias("spans"))
+    return keep(mine.union(later).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
 
 def packed(documents: DataFrame) -> DataFrame:
-    """documents as (rid, doc_id, z, n_bytes, row): z the compressed text, row the other columns; kept in the shared folder, dealt by rid."""
+    """documents as (rid, doc_id, z, n_bytes, row): z the compressed text, row the other columns; kept in the shared folder, dealt by rid.
+
+    rid numbers the rows in the order of doc_id (nulls last, repeats as they come): it is doc_id itself where that is a unique integer."""
     others = [F.col(f"`{c}`") for c in documents.columns if c != "text"]
+    kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -302,9 +311,17 @@ def packed(documents: DataFrame) -> DataFrame:
             raw = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack(x) for x in raw], pa.binary()), pa.array([len(x) for x in raw], pa.int64()), b.column(3)], ["rid", "doc_id", "z", "n_bytes", "row"])
 
-    d = documents.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("text").cast("string"), F.struct(*others).alias("row"))
-    schema = f"rid long, doc_id {documents.schema['doc_id'].dataType.simpleString()}, z binary, n_bytes long, row {d.schema['row'].dataType.simpleString()}"
-    return cut(d.mapInArrow(run, schema).repartition(partitions(documents.sparkSession), "rid"))
+    twice = documents.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    plain = kind in ("bigint", "int", "smallint", "tinyint") and twice.isEmpty()
+    d = documents.select((F.col("doc_id").cast("long") if plain else F.monotonically_increasing_id()).alias("rid"), "doc_id", F.col("text").cast("string"), F.struct(*others).alias("row"))
+    schema = f"rid long, doc_id {kind}, z binary, n_bytes long, row {d.schema['row'].dataType.simpleString()}"
+    n = partitions(documents.sparkSession)
+    if plain:
+        return cut(d.mapInArrow(run, schema).repartition(n, "rid"))
+    d = keep(d.mapInArrow(run, schema))
+    ranks = d.select(F.col("rid").alias("old"), "doc_id").orderBy(F.col("doc_id").asc_nulls_last(), "old").select("old", F.monotonically_increasing_id().alias("new"))
+    d = d.join(ranks, F.col("rid") == F.col("old")).select(F.col("new").alias("rid"), "doc_id", "z", "n_bytes", "row")
+    return cut(d.repartition(n, "rid"))
 
 
 def merge(spans: list[int] | None) -> list[tuple[int, int]]:
