@@ -115,7 +115,7 @@ def stoch(b: Layers, high, low, close, *, fastk_period, slowk_period, slowd_peri
 
 def willr(b: Layers, high, low, close, *, timeperiod):
     lowest, highest = _position(b, high, low, close, timeperiod)
-    return _or0(-100.0 * (highest - close) / (highest - lowest), highest != lowest)
+    return _or0(100.0 * (close - highest) / (highest - lowest), highest != lowest)
 
 
 def wma(b: Layers, close, *, timeperiod):

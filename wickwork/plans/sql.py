@@ -171,7 +171,7 @@ q AS (SELECT symbol, i, r, min(r) {_over(a)} AS l, max(r) {_over(a)} AS h FROM r
     if name == "trix":
         return f"{_ema('e1', 'x', 'close', n, 0)}, {_ema('e2', 'e1', 'v', n, n - 1)}, {_ema('e3', 'e2', 'v', n, 2 * (n - 1))}, t AS (SELECT symbol, i, v, lag(v) {_over()} AS p FROM e3)", f"(SELECT * FROM t WHERE i >= {3 * (n - 1) + 1})", "100 * (v / p - 1) AS $"
     if name == "willr":
-        return f"r AS (SELECT symbol, i, close, min(low) {_over(n)} AS l, max(high) {_over(n)} AS h FROM x)", f"(SELECT * FROM r WHERE i >= {n - 1})", "CASE WHEN h <> l THEN -100 * (h - close) / (h - l) ELSE 0 END AS $"
+        return f"r AS (SELECT symbol, i, close, min(low) {_over(n)} AS l, max(high) {_over(n)} AS h FROM x)", f"(SELECT * FROM r WHERE i >= {n - 1})", "CASE WHEN h <> l THEN 100 * (close - h) / (h - l) ELSE 0 END AS $"
     if name == "wma":
         return f"w AS (SELECT symbol, i, list(close) {_over(n)} AS l FROM x)", f"(SELECT * FROM w WHERE i >= {n - 1})", f"list_sum(list_transform(l, lambda y, k: y * k)) / {n * (n + 1) / 2} AS $"
     raise KeyError(name)
@@ -193,7 +193,7 @@ BATCH = f"""{candles("1h")}, i AS (SELECT *, row_number() OVER (PARTITION BY sym
 a AS (SELECT symbol, timestamp, i, close - lag(close, 10) {_over()} AS mom, close / lag(close, 5) {_over()} - 1 AS roc, close, min(low) {_over(14)} AS l, max(high) {_over(14)} AS h, avg(close) {_over(20)} AS m, stddev_pop(close) {_over(20)} AS s FROM i),
 m AS (SELECT symbol, i, CASE WHEN i >= 8 THEN c6 - lag(c6, 3) {_over()} END AS v FROM c6),
 w AS (SELECT symbol, i, CASE WHEN i >= 8 THEN list_sum(list_transform(list(c2) {_over(8)}, lambda y, k: y * k)) / 36.0 END AS v FROM c2)
-SELECT a.symbol, a.timestamp, round(mom, 6) AS mom_10_1h, round(100 * roc, 6) AS roc_5_1h, CASE WHEN a.i >= 13 THEN round(CASE WHEN h <> l THEN -100 * (h - close) / (h - l) ELSE 0 END, 6) END AS willr_14_1h,
+SELECT a.symbol, a.timestamp, round(mom, 6) AS mom_10_1h, round(100 * roc, 6) AS roc_5_1h, CASE WHEN a.i >= 13 THEN round(CASE WHEN h <> l THEN 100 * (close - h) / (h - l) ELSE 0 END, 6) END AS willr_14_1h,
  round(m.v, 6) AS mom_3_6h, round(w.v, 6) AS wma_8_2h, CASE WHEN a.i >= 19 THEN round(a.m + 2.0 * a.s, 6) END AS upperband
 FROM a JOIN m ON m.symbol = a.symbol AND m.i = a.i JOIN w ON w.symbol = a.symbol AND w.i = a.i"""
 

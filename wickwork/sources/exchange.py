@@ -3,7 +3,7 @@
 A fetcher is ``fetch(symbol, timeframe, since_ms, limit) -> list of [ts_ms, open, high, low, close, volume]``, named by the
 option ``fetcher`` as ``module:function``. Requests are symbols times timeframes. A bounded request is one partition per window of
 pages; an open-ended one is paged by a cursor in one partition. Failures that look temporary are tried again with growing pauses; a window
-that still fails gives an error row (``on_error=row``) or fails the task (``on_error=fail``), so nothing gets lost in silence.
+that still fails gives an error row (``onError=row``) or fails the task (``onError=fail``), so nothing gets lost in silence.
 """
 
 from __future__ import annotations
@@ -68,13 +68,13 @@ class _Window(InputPartition):
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.o = options
+        self.o = {k.lower(): v for k, v in options.items()}
 
     def _list(self, name: str) -> list[str]:
         return [x.strip() for x in self.o.get(name, "").split(",") if x.strip()]
 
     def partitions(self) -> list[InputPartition]:
-        page, pages = int(self.o.get("page", PAGE)), int(self.o.get("pagesPerTask", "10"))
+        page, pages = int(self.o.get("page", PAGE)), int(self.o.get("pagespertask", "10"))
         start = int(naive_utc(self.o["start"]).timestamp() * 1000) if "start" in self.o else 0
         end = int(naive_utc(self.o["end"]).timestamp() * 1000) if "end" in self.o else None
         out: list[InputPartition] = []
@@ -91,7 +91,7 @@ class _Reader(DataSourceReader):
         module, _, name = self.o["fetcher"].partition(":")
         fetch = getattr(importlib.import_module(module), name)
         pause, page = float(self.o.get("pause", "0")), int(self.o.get("page", PAGE))
-        tries, base = int(self.o.get("tries", "5")), float(self.o.get("basePause", "0.5"))
+        tries, base = int(self.o.get("tries", "5")), float(self.o.get("basepause", "0.5"))
         p = partition
 
         def one(since: int, limit: int) -> list:
@@ -110,7 +110,7 @@ class _Reader(DataSourceReader):
                 failures += 1
                 if failures < (MAX_OPEN_FAILURES if p.end is None else 2):
                     continue  # the refill: go on where it broke off
-                if self.o.get("onError", self.o.get("on_error", "fail")) != "row":
+                if self.o.get("onerror", "fail") != "row":
                     raise
                 yield (p.symbol, p.timeframe, None, None, None, None, None, None, str(e)[:500])
                 return
