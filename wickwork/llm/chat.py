@@ -7,7 +7,7 @@ anti-join. Of equal conversations the one with the smallest conv_id stays. What
 Prefix hashes are the xor of hashes of (position, role, text), two of 64 bits each, so they add up over chunks: positions and hashes are first
 made within chunks of ``CHUNK`` turn numbers, then carried over the chunks of a conversation. So a conversation with a third of all turns
 is many groups, never one. For the same reason a rendered conversation comes in parts of ``PART`` turns, all but the last being full;
-usual conversations have one part.
+usual conversations have one part. Turns with positions, and prefix hashes, are each computed once and kept in the shared folder.
 
 Turns are ordered by turn (null first), then role, then text; repeated turns stay. Null roles and texts count as empty. Rows without
 conv_id are one conversation. An empty table gives no rows. Extra columns are ignored.
@@ -16,9 +16,11 @@ Everything is a DataFrame expression: no Python runs on the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from wickwork.llm.common import keep
+
 CHUNK, PART = 256, 1024
 
 
@@ -26,28 +28,35 @@ def _same(a: str, b: str) -> Column:
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def prefixes(conversations: DataFrame) -> DataFrame:
-    """(conv_id, c, j, role, text, p, q): turns with their position from 1 and their two prefix hashes."""
+def positions(conversations: DataFrame) -> DataFrame:
+    """(conv_id, c, j, role, text, x, y): turns with their chunk, their position from 1, and two hashes of both."""
     t = conversations.select("conv_id", F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     t = t.withColumn("c", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 62))))
-    inner = Window.partitionBy("conv_id", "c").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("conv_id").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("conv_id", "c").orderBy("turn", "role", "text")
     counts = t.groupBy("conv_id", "c").agg(F.count("*").alias("n"))
-    counts = counts.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    t = t.withColumn("k", F.row_number().over(inner)).join(counts, _same("conv_id", "_id") & (F.col("c") == F.col("_c"))).drop("_id", "_c")
+    counts = counts.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.sum("n").over(_before()), F.lit(0)).alias("skip"))
+    t = t.withColumn("k", F.row_number().over(inner)).join(counts, _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
     t = t.withColumn("j", F.col("k") + F.col("skip"))
-    t = t.withColumns({"x": F.xxhash64("j", "role", "text"), "y": F.xxhash64(F.lit("second"), "text", "j", "role")}).drop("k", "skip")
-    sums = t.groupBy("conv_id", "c").agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    return t.select("conv_id", "c", "j", "role", "text", F.xxhash64("j", "role", "text").alias("x"), F.xxhash64(F.lit("second"), "text", "j", "role").alias("y"))
+
+
+def _before() -> WindowSpec:
+    return Window.partitionBy("conv_id").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def prefixes(turns: DataFrame) -> DataFrame:
+    """(conv_id, j, p, q): the two prefix hashes of each turn; turns as of positions."""
     zero = F.lit(0).cast("long")
-    sums = sums.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.bit_xor("x").over(before), zero).alias("px"), F.coalesce(F.bit_xor("y").over(before), zero).alias("py"))
+    sums = turns.groupBy("conv_id", "c").agg(F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    sums = sums.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.bit_xor("x").over(_before()), zero).alias("px"), F.coalesce(F.bit_xor("y").over(_before()), zero).alias("py"))
     own = Window.partitionBy("conv_id", "c").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumns({"x": F.bit_xor("x").over(own), "y": F.bit_xor("y").over(own)}).join(sums, _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
-    return t.select("conv_id", "c", "j", "role", "text", F.col("x").bitwiseXOR(F.col("px")).alias("p"), F.col("y").bitwiseXOR(F.col("py")).alias("q"))
+    t = turns.select("conv_id", "c", "j", F.bit_xor("x").over(own).alias("x"), F.bit_xor("y").over(own).alias("y"))
+    t = t.join(sums, _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
+    return t.select("conv_id", "j", F.col("x").bitwiseXOR(F.col("px")).alias("p"), F.col("y").bitwiseXOR(F.col("py")).alias("q"))
 
 
-def maximal(turns: DataFrame) -> DataFrame:
-    """(id, n): the conversations that stay and their numbers of turns; turns as of prefixes."""
-    slim = turns.select("conv_id", "j", "p", "q")
+def maximal(slim: DataFrame) -> DataFrame:
+    """(id, n): the conversations that stay and their numbers of turns; slim as of prefixes."""
     last = slim.groupBy("conv_id").agg(F.max(F.struct("j", "p", "q")).alias("e")).select(F.col("conv_id").alias("id"), F.col("e.j").alias("n"), F.col("e.p").alias("ep"), F.col("e.q").alias("eq"))
     inner = slim.join(last, _same("conv_id", "id")).where("j < n").select("j", "p", "q").distinct()
     one = last.groupBy("n", "ep", "eq").agg(F.min("id").alias("id"))
@@ -60,8 +69,8 @@ def render(role: Column, text: Column) -> Column:
 
 def format_chats(conversations: DataFrame, part: int = PART) -> DataFrame:
     """(conv_id, part, n_turns, text): the maximal conversations, rendered."""
-    turns = prefixes(conversations)
-    kept = turns.join(maximal(turns), _same("conv_id", "id"))
+    turns = keep(positions(conversations))
+    kept = turns.join(maximal(keep(prefixes(turns))), _same("conv_id", "id"))
     kept = kept.withColumn("part", F.floor((F.col("j") - 1) / part))
     d = kept.groupBy("conv_id", "part").agg(F.max("n").cast("long").alias("n_turns"), F.sort_array(F.collect_list(F.struct("j", render(F.col("role"), F.col("text")).alias("s")))).alias("a"))
     return d.select("conv_id", "part", "n_turns", F.array_join(F.transform("a", lambda x: x["s"]), "").alias("text"))
