@@ -39,7 +39,7 @@ def test_against_sql(spark, duck, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["feature", "VIF"] and df.count() == 24
+    assert df.columns == ["feature", "VIF"] and df.count() == 112
 
 
 def test_all_have_sql_but_the_flagship():

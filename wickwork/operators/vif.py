@@ -1,7 +1,7 @@
-"""Variance inflation factors from one distributed Gram matrix.
+"""Variance inflation factors from one distributed Gram matrix, in one pass.
 
-Every method needs only the columns' means and products, which tasks sum over Arrow batches; what comes to the driver has
-the size of the columns squared, whatever the rows.
+Every method needs only the columns' means and products. Tasks merge them over Arrow batches, each centred at its own
+mean, so nothing is lost to large means; a few more tasks merge what tasks found, and the driver gets those few matrices.
 """
 
 from __future__ import annotations
@@ -23,42 +23,52 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in NUMERIC]
 
 
-def _checked(df: DataFrame, drop_na: bool) -> tuple[DataFrame, list[str], int, np.ndarray]:
-    """(rows to use, columns, number of rows, means)."""
-    columns = numeric_columns(df)
-    if skipped := [c for c in df.columns if c not in columns]:
-        warnings.warn(f"not numeric, left out: {', '.join(skipped)}", stacklevel=3)
-    if len(columns) < 2:
-        raise ValueError("at least 2 features are needed")
-    df = df.select(*(F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
-    names = df.columns
-    if drop_na:
-        df = df.dropna()
-    bad = F.count_if(F.greatest(*(F.when(F.col(c).isNull() | F.isnan(c), 1).otherwise(0) for c in names)) == 1)
-    row = df.agg(F.count("*").alias("n"), bad.alias("bad"), *(F.avg(c) for c in names)).first()
-    if row["bad"]:
-        raise ValueError(f"{row['bad']} rows have missing values")
-    if row["n"] < 2:
-        raise ValueError("at least 2 rows are needed")
-    return df, columns, row["n"], np.array(row[2:], float)
+def _merged(a: tuple | None, n: int, mean: np.ndarray, m2: np.ndarray) -> tuple:
+    """Two sets of rows as one: (rows, means, sums of products of centred columns)."""
+    if a is None or not a[0]:
+        return n, mean, m2
+    if not n:
+        return a
+    d, total = mean - a[1], a[0] + n
+    return total, a[1] + d * (n / total), a[2] + m2 + np.outer(d, d) * (a[0] * n / total)
+
 
+def moments(df: DataFrame, columns: list[str]) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """(rows without missing values, rows with, means, Gram matrix of centred columns)."""
+    k, parts = len(columns), 8
+    schema = "part int, n long, bad long, mean array<double>, m2 array<double>"
 
-def gram(df: DataFrame, means: np.ndarray) -> np.ndarray:
-    """Sums of products of centred columns."""
-    k = len(means)
+    def row(part: int, bad: int, a: tuple | None) -> pa.RecordBatch:
+        n, mean, m2 = a if a is not None else (0, np.zeros(k), np.zeros((k, k)))
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((part, n, bad, mean, m2.ravel()), kinds, strict=True)], ["part", "n", "bad", "mean", "m2"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((k, k))
+    def over_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        total, bad = None, 0
         for b in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]) - means
-            total += x.T @ x
-        i, j = np.triu_indices(k)
-        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], ["i", "j", "s"])
-
-    out = np.zeros((k, k))
-    for i, j, s in df.mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s")).collect():
-        out[i, j] = out[j, i] = s
-    return out
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
+            whole = ~np.isnan(x).any(axis=1)
+            bad += int((~whole).sum())
+            x = x[whole]
+            if len(x):
+                mean = x.mean(axis=0)
+                total = _merged(total, len(x), mean, (x - mean).T @ (x - mean))
+        yield row(TaskContext.get().partitionId() % parts, bad, total)
+
+    def over_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, bad = None, 0
+        for b in batches:
+            for _, n, more, mean, m2 in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                total, bad = _merged(total, n, np.array(mean), np.array(m2).reshape(k, k)), bad + more
+        yield row(0, bad, total)
+
+    d = df.select(*(F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
+    total, bad = None, 0
+    for r in d.mapInArrow(over_rows, schema).repartition(parts, "part").mapInArrow(over_parts, schema).collect():
+        total, bad = _merged(total, r["n"], np.array(r["mean"]), np.array(r["m2"]).reshape(k, k)), bad + r["bad"]
+    return (total[0], bad, *total[1:]) if total else (0, bad, np.zeros(k), np.zeros((k, k)))
 
 
 def factors(g: np.ndarray, method: str, means: np.ndarray | None = None, n: int = 1) -> np.ndarray:
@@ -96,7 +106,16 @@ def vif(df: DataFrame, method: str = "matrix", threshold: float | None = None, d
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; known: {', '.join(METHODS)}")
-    rows, columns, n, means = _checked(df, drop_na)
-    found = factors(gram(rows, means), method, means, n)
+    columns = numeric_columns(df)
+    if skipped := [c for c in df.columns if c not in columns]:
+        warnings.warn(f"not numeric, left out: {', '.join(skipped)}", stacklevel=2)
+    if len(columns) < 2:
+        raise ValueError("at least 2 features are needed")
+    n, bad, means, gram = moments(df, columns)
+    if bad and not drop_na:
+        raise ValueError(f"{bad} rows have missing values")
+    if n < 2:
+        raise ValueError("at least 2 rows are needed")
+    found = factors(gram, method, means, n)
     out = df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(columns, found, strict=True)], "feature string, VIF double")
     return out.where(F.col("VIF") >= threshold) if threshold is not None else out

@@ -239,14 +239,26 @@ def batch_plan(spark, sf_dir):
     return t.select("symbol", "t.timeframe", expected_pages_column(lo, hi, s).alias("pages"), F.floor((hi - lo) / 1_000_000 / s).cast("long").alias("candles"))
 
 
-FEATURES = [(n, t, {"timeperiod": p}) for n in ("rsi", "mom", "roc", "willr") for t in ("1h", "2h", "6h") for p in (7, 14)]
+@query(sql.FEATURES_VIF)
+def features_vif(spark, sf_dir):
+    """Candles, gap fill, two indicators, and their factors, all of which SQL can follow."""
+    filled = impute.ffill(candles(spark, sf_dir), "1h").drop("is_imputed")
+    d = add_indicators(filled, [("mom", "1h", {}), ("willr", "1h", {})], "1h", ordered=False)
+    return _rounded(V.vif(d.select("mom_10_1h", "willr_14_1h")))
+
+
+TIMEFRAMES, PERIODS = ("5m", "15m", "30m", "1h", "2h", "6h", "1d"), (7, 14, 21, 28)
+FEATURES = [
+    (name, t, {"fastperiod": p, "slowperiod": 2 * p} if name == "ppo" else {"timeperiod": p})
+    for name in ("adx", "atr", "ppo", "rsi") for t in TIMEFRAMES for p in PERIODS
+]
 
 
 @query(None)
 def pipeline_features_vif(spark, sf_dir):
-    """Candles, gap fill, 24 indicator requests, and the factors of the features: what to keep is where VIF < 5."""
-    filled = impute.ffill(candles(spark, sf_dir), "1h").drop("is_imputed")
-    d = add_indicators(filled, FEATURES, "1h", ordered=False)
+    """Candles, gap fill, 112 indicator requests over seven timeframes, and the factors of the features; those under 5 are worth keeping."""
+    filled = impute.ffill(candles(spark, sf_dir, "5m"), "5m").drop("is_imputed")
+    d = add_indicators(filled, FEATURES, "5m", ordered=False)
     return _rounded(V.vif(d.select(*(output_name(REGISTRY[n], p, t) for n, t, p in FEATURES)), method="parallel"))
 
 

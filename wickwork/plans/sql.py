@@ -209,6 +209,10 @@ v AS (SELECT '{a}' AS feature, round((1 - z * z) / d, 6) AS "VIF" FROM d UNION A
 SELECT * FROM v {having}"""
 
 
+FEATURES_VIF = f"""{filled("1h")}, i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i FROM filled),
+f AS (SELECT i, close - lag(close, 10) {_over()} AS m, close, min(low) {_over(14)} AS l, max(high) {_over(14)} AS h FROM i),
+g AS (SELECT m, CASE WHEN h <> l THEN 100 * (close - h) / (h - l) ELSE 0 END AS w FROM f WHERE i >= 13)
+SELECT unnest(['mom_10_1h', 'willr_14_1h']) AS feature, round(1 / (1 - power(corr(m, w), 2)), 6) AS "VIF" FROM g"""
 BATCH_PLAN = f"""{candles("1h")}, b AS (SELECT symbol, date_diff('second', min(timestamp), max(timestamp)) AS s FROM candles GROUP BY symbol), t AS (SELECT unnest(['5m', '1h']) AS timeframe, unnest([300, 3600]) AS c)
 SELECT symbol, timeframe, greatest(1, ceil(s / (c * 300)))::BIGINT AS pages, (s // c)::BIGINT AS candles FROM b, t"""
 SYMBOLS = "SELECT p_partkey, lower(replace(upper(p_brand[1:5] || '/' || p_type), '/', '-')) AS path FROM part"
