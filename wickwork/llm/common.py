@@ -51,6 +51,9 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -61,14 +64,24 @@ def keep(df: DataFrame) -> DataFrame:
     """df, computed once and written as a table in the shared folder: smaller than a checkpoint, but no longer dealt by key. It goes when the program ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    schema, before = df.schema, spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # the write's shuffle files go with its end
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     del df
     atexit.register(_remove, spark, path)
     _collect(spark)
     return spark.read.schema(schema).parquet(path)
 
 
+def redealt(key: Column) -> Column:
+    """A long key, computed anew: an aggregate's frame then no longer counts as dealt by it, so a join deals both sides itself,
+    and adaptive execution can split the partitions of a hot key. Under an aggregate it can't."""
+    return key.bitwiseXOR(F.lit(0).cast("long"))
+
+
 def spaced(text: Column, but: str = "") -> Column:
     """text with a space for each white space character; replace() scans bytes, where translate() looks up each character."""
     for c in SPACES[1:].replace(but, ""):

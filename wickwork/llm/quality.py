@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import SPACES, spaced, words
+from wickwork.llm.common import SPACES, redealt, spaced, words
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_DOCS, SHARE, KEEP_TENTHS = 20, 0.005, 3
@@ -94,11 +94,15 @@ def _keyed(documents: DataFrame, host: str) -> DataFrame:
 
 
 def boilerplate(documents: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
-    """(host, h): the lines above the limits."""
+    """(host, h): the lines above the limits.
+
+    Arrays are exploded with their empty ones: for a plain explode the optimizer filters by the array's size in the scan, which would
+    compute the lines twice.
+    """
     keyed = _keyed(documents, host)
     d = _lines(keyed).withColumn("best", F.array_max("lines"))
     d = d.withColumns({"next": F.array_max(F.filter("lines", lambda x: x["h"] != F.col("best")["h"])), "hs": F.array_distinct(F.transform("lines", lambda x: x["h"]))})
-    d = d.select("host", "best", "next", F.explode("hs").alias("h"))
+    d = d.select("host", "best", "next", F.explode_outer("hs").alias("h")).where("h is not null")
     d = d.select("host", "h", F.coalesce(F.when(F.col("h") == F.col("best")["h"], F.col("next")["h"]).otherwise(F.col("best")["h"]), F.lit(0)).alias("rest"))
     per = d.groupBy("host", "h", "rest").agg(F.count("*").alias("n"))
     found = per.groupBy("host", "h").agg(F.sum("n").alias("n"), F.max("n").alias("most")).where((F.col("n") > min_docs) & (2 * F.col("most") <= F.col("n")))
@@ -110,12 +114,12 @@ def removed_lines(documents: DataFrame, host: str = "source", **limits) -> DataF
     """(doc_id, _t, bad, removed, total): of documents with boilerplate its hashes and characters, each line as often as it stands there, and the characters of all lines."""
     keyed = _keyed(documents, host)
     total = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    lines = _lines(keyed).withColumn("total", total).select(*KEY, "host", "total", F.inline("lines"))
-    bad = boilerplate(documents, host, **limits).select(F.col("host").alias("_host"), F.col("h").alias("_h"))
+    lines = _lines(keyed).withColumn("total", total).select(*KEY, "host", "total", F.posexplode_outer("lines").alias("pos", "line"))
+    lines = lines.select(*KEY, "host", "total", "pos", "line.n", "line.h").where("h is not null")
+    bad = boilerplate(documents, host, **limits).select(F.col("host").alias("_host"), redealt(F.col("h")).alias("_h"))
     hit = lines.join(bad, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host")))
-    hit = hit.groupBy(*KEY).agg(F.collect_set("h").alias("bad"), F.sum("n").alias("removed"), F.max("total").alias("total"))
-    rows = keyed.groupBy(F.col("doc_id").alias("_id"), F.col("_t").alias("_u")).agg(F.count("*").alias("rows"))
-    return hit.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_u"))).select("doc_id", "_t", "bad", F.expr("removed div rows").alias("removed"), "total")
+    hit = hit.groupBy(*KEY, "pos").agg(F.max("h").alias("h"), F.max("n").alias("n"), F.max("total").alias("total"))  # repeated rows once
+    return hit.groupBy(*KEY).agg(F.collect_set("h").alias("bad"), F.sum("n").alias("removed"), F.max("total").alias("total"))
 
 
 def _enough(keep_tenths: int) -> Column:
