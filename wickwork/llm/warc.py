@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, partitions, shared_dir
+from wickwork.llm.common import cut, partitions, redealt, shared_dir
 
 ARCHIVE_BYTES, GAP, SPAN = 64 << 20, 64 << 10, 8 << 20
 #: Fixed values of the WARC 1.1 format.
@@ -86,7 +86,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int
     p = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     p = p.withColumns({"sha": F.sha1(F.encode("html", "UTF-8")), "size": F.octet_length("html")})
     same = p.where(F.col("size") >= min_bytes).groupBy(F.col("sha").alias("_sha"), F.col("size").alias("_size")).agg(F.max("page_id").alias("first"), F.count("*").alias("c")).where("c > 1")
-    p = p.join(same, (F.col("sha") == F.col("_sha")) & (F.col("size") == F.col("_size")), "left")
+    same = same.withColumn("_size", redealt(F.col("_size").cast("long")))
+    p = p.join(same, (F.col("sha") == F.col("_sha")) & (F.col("size").cast("long") == F.col("_size")), "left")
     p = p.select("page_id", "url", "html", F.col("first").alias("revisits"), (F.col("c").isNull() | F.col("page_id").eqNullSafe(F.col("first"))).alias("is_response"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
