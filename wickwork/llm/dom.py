@@ -151,6 +151,15 @@ def features(nodes: list[Node]) -> list[list[str]]:
         linked[p] += linked[i]
         stops[p] += stops[i]
     total = max(1, words[0])
+    own = [0] * len(nodes)  # words of text that is no link, below a node's paragraphs
+    for i, n in enumerate(nodes):
+        if n.tag in ("p", "pre", "blockquote", "td", "li") and i:
+            own[n.parent] += words[i] - linked[i]
+    main = max(range(len(nodes)), key=lambda i: own[i])
+    path, at = set(), main
+    while at >= 0:
+        path.add(at)
+        at = nodes[at].parent
     out = []
     for i, n in enumerate(nodes):
         f = ["bias", f"tag:{n.tag}", *(f"mark:{k}" for k in n.marks)]
@@ -166,6 +175,9 @@ def features(nodes: list[Node]) -> list[list[str]]:
             f.append(f"share:{min(3, int(4 * w / total))}")
         if i == 0:
             f.append("root")
+        else:
+            f.append("place:" + ("main" if i == main else "holds" if i in path else "in" if n.parent == main else "before" if i < main else "after"))
+            f.append(f"under:{nodes[n.parent].tag}")
         out.append(f)
     return out
 
