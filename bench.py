@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wickwork.operators import vif as V
 from wickwork.plans import catalogue
-from wickwork.session import SETTINGS
+from wickwork.session import SETTINGS, ship
 
 HEADLINE = (
     "candles_1h", "range_bounded", "dedupe_keep_last", "ffill_impute", "sparsity_report", "synthetic_ohlc", "ind_bbands", "ind_cci",
@@ -28,6 +28,7 @@ def main() -> None:
     own = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g", "spark.sql.shuffle.partitions": cpus}
     spark = SparkSession.builder.master(f"local[{cpus}]").config(map=SETTINGS | own).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
 
     def timed(run) -> float:
         best = None

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,3 +19,19 @@ SETTINGS = {
 
 def session(name: str = "wickwork", **settings: str) -> SparkSession:
     return SparkSession.builder.appName(name).config(map=SETTINGS | settings).getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives executors this package, once per context, wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_wickwork_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    handle, path = tempfile.mkstemp(prefix="wickwork-", suffix=".zip")
+    os.close(handle)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*")):
+            if f.suffix in (".py", ".json"):
+                z.write(f, f.relative_to(root.parent))
+    context.addPyFile(path)
+    context._wickwork_shipped = True
