@@ -32,6 +32,11 @@ def test_first_wins(candles):
     assert [r["close"] for r in impute.ffill(df, "5m", "ingest_seq").collect()] == [1.0]
 
 
+def test_long_series_come_in_runs(candles):
+    got = impute.ffill(candles([(0, 1.0), (5 * 9999, 2.0)]), "5m")
+    assert got.count() == 10_000 and got.where("is_imputed").count() == 9_998 and got.select("timestamp").distinct().count() == 10_000
+
+
 def test_empty(candles):
     assert impute.ffill(candles(0), "5m").count() == 0
 

@@ -35,10 +35,6 @@ def is_base(timeframe: str, base: str) -> bool:
     return timeframe == base
 
 
-def interval(timeframe: str) -> str:
-    return f"INTERVAL {seconds(timeframe)} SECONDS"
-
-
 def naive_utc(value: str | date | datetime) -> datetime:
     """A bound as naive UTC: ISO text (with Z or an offset), the formats above, a date or a datetime."""
     if isinstance(value, str):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickwork.functions import schema as S
-from wickwork.functions.timeframe import interval, micros
+from wickwork.functions.timeframe import micros, seconds
 
 
 def ffill(df: DataFrame, every: str, seq: str | None = None) -> DataFrame:
@@ -20,8 +20,8 @@ def ffill(df: DataFrame, every: str, seq: str | None = None) -> DataFrame:
     keys = S.series_keys(df)
     df = df.withColumn("timestamp", F.date_trunc("millisecond", "timestamp").cast("timestamp_ntz"))
     df = S.keep_first(df, (*keys, "timestamp"), seq) if seq else df.dropDuplicates([*keys, "timestamp"])
-    grid = df.groupBy(*keys).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).where("lo is not null")
-    grid = grid.select(*keys, F.explode(F.expr(f"sequence(lo, hi, {interval(every)})")).alias("timestamp"))
+    ends = df.groupBy(*keys).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).where("lo is not null")
+    grid = _grid(ends, keys, every)
     seen = df.select(*keys, "timestamp", *S.PRICES, F.lit(True).alias("_seen"))
     w = Window.partitionBy(*keys).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     filled = grid.join(seen, [*keys, "timestamp"], "left").withColumns(
@@ -30,6 +30,15 @@ def ffill(df: DataFrame, every: str, seq: str | None = None) -> DataFrame:
     return filled.select(*keys, "timestamp", *S.PRICES, "is_imputed")
 
 
+def _grid(ends: DataFrame, keys: list[str], every: str, run: int = 4096) -> DataFrame:
+    """(keys, timestamp) from lo to hi of each row. In runs, so that no row ever holds a long series as one array."""
+    step = seconds(every)
+    n = F.floor((micros(F.col("hi")) - micros(F.col("lo"))) / (step * 1_000_000)).cast("long")
+    g = ends.select(*keys, "lo", n.alias("n")).select(*keys, "lo", "n", F.explode(F.expr(f"sequence(0L, n div {run})")).alias("k"))
+    g = g.select(*keys, "lo", F.explode(F.expr(f"sequence(k * {run}, least(n, k * {run} + {run - 1}))")).alias("i"))
+    return g.select(*keys, F.expr(f"lo + make_dt_interval(0, 0, 0, i * {step})").alias("timestamp"))
+
+
 def imputed_count(filled: DataFrame) -> DataFrame:
     """Imputed rows per series."""
     return filled.groupBy(*S.series_keys(filled)).agg(F.count_if("is_imputed").alias("imputed"))
