@@ -13,7 +13,7 @@ def fetch(symbol, timeframe, since, limit):
         mark = Path(symbol.removeprefix("FLAKY")) / f"{since}"
         if not mark.exists():
             mark.touch()
-            raise RuntimeError("request timed out")
+            raise RuntimeError("503 Service Unavailable")
     step = {"1m": 60_000, "5m": 300_000}[timeframe]
     first = max(0, -(-(since - FIRST) // step))
     return [[FIRST + step * i, 1.0, 2.0, 0.5, 1.5, float(i)] for i in range(first, min(first + limit, 721))]

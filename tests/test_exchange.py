@@ -42,7 +42,7 @@ def test_retry():
     assert len(pauses) == 2 and 0.5 <= pauses[0] <= 0.75 and 1 <= pauses[1] <= 1.5
     with pytest.raises(RuntimeError, match="invalid"):
         X.with_retry(lambda: fake.fetch("BAD/USD", "1m", 0, 1), sleep=pauses.append)
-    assert not X.retryable(ValueError("invalid symbol"))
+    assert not X.retryable(ValueError("invalid symbol")) and X.retryable(TimeoutError()) and X.retryable(RuntimeError("something went wrong"))
 
 
 def test_bounded(spark):
@@ -55,6 +55,13 @@ def test_open_ended(spark):
     assert candles.count() == 721
 
 
+def test_bounds(spark):
+    one = lambda **k: X.fetch(spark, "fake_exchange:fetch", ["A/USD"], ["1m"], **k)[0].count()
+    assert one(start="2024-01-01T00:10:00", end="2024-01-01T00:12:30Z") == 3
+    assert one(start="2024-01-01T10:00:00", end="2024-01-01") == 121  # midnight means the end of the day
+    assert one(start="2024-01-02T00:00:00", end="2024-01-01T05:00:00") == 0
+
+
 def test_failures_are_isolated(spark, tmp_path):
     folder = f"file://{tmp_path}/store"
     errors = X.fetch_and_save(spark, "fake_exchange:fetch", ["A/USD", "BAD/USD"], ["1m", "5m"], folder, **BOUNDS)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: The supported timeframes in seconds, and the candles in a page of the exchange.
 SECONDS = {"1m": 60, "5m": 300, "15m": 900, "30m": 1800, "1h": 3600, "2h": 7200, "6h": 21600, "1d": 86400}
 PAGE = 300
-_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d")
+_FORMATS = ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S")
 
 
 def seconds(timeframe: str) -> int:

@@ -12,24 +12,40 @@ import importlib
 import random
 import time
 from collections.abc import Callable, Iterator
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from wickwork.functions import schema as S
-from wickwork.functions.timeframe import PAGE, naive_utc, seconds
+from wickwork.functions.timeframe import PAGE, bounds, naive_utc, seconds
 from wickwork.sources.candles import from_rows
 
-#: What errors worth another try say, in upper case.
-RETRYABLE = ("TIMEOUT", "TIMED OUT", "RATE LIMIT", "TOO MANY REQUESTS", "SERVICE UNAVAILABLE", "BAD GATEWAY", "GATEWAY", "CONNECTION")
+#: What messages of errors worth another try hold, in upper case.
+RETRYABLE = (
+    "UNAVAILABLE",
+    "SOMETHING WENT WRONG",
+    "INTERNAL SERVER ERROR",
+    "SERVICE UNAVAILABLE",
+    "TIMEOUT",
+    "TOO MANY REQUESTS",
+    "429",
+    "5XX",
+)
 MAX_OPEN_FAILURES = 5
 SCHEMA = "symbol string, timeframe string, ts_ms long, open double, high double, low double, close double, volume double, error string"
 
 
 def retryable(error: BaseException) -> bool:
+    """Whether an error looks temporary: by its type, or by what it says."""
     text = str(error).upper()
-    return any(x in text for x in RETRYABLE)
+    return isinstance(error, (TimeoutError, ConnectionError)) or any(x in text for x in RETRYABLE)
+
+
+def millis(moment: datetime) -> int:
+    """A naive UTC moment in milliseconds since the epoch."""
+    return (moment - datetime(1970, 1, 1)) // timedelta(milliseconds=1)  # noqa: DTZ001
 
 
 def window_starts(start_ms: int, end_ms: int, timeframe: str, page: int = PAGE) -> list[int]:
@@ -75,17 +91,17 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         page, pages = int(self.o.get("page", PAGE)), int(self.o.get("pagespertask", "10"))
-        start = int(naive_utc(self.o["start"]).timestamp() * 1000) if "start" in self.o else 0
-        end = int(naive_utc(self.o["end"]).timestamp() * 1000) if "end" in self.o else None
         out: list[InputPartition] = []
         for s in self._list("symbols"):
             for t in self._list("timeframes"):
+                start = millis(naive_utc(self.o["start"])) if "start" in self.o else 0
+                end = millis(bounds(None, self.o["end"], t)[1]) if "end" in self.o else None
                 if end is None:
                     out.append(_Window(s, t, start, None))
                     continue
                 span = seconds(t) * 1000 * page * pages
                 out += [_Window(s, t, x, min(x + span - seconds(t) * 1000, end)) for x in window_starts(start, end, t, page * pages)]
-        return out
+        return out or [_Window("", "", 1, 0)]  # a scan needs a partition; this one is empty
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         module, _, name = self.o["fetcher"].partition(":")
