@@ -101,7 +101,7 @@ class _Reader(DataSourceReader):
                     continue
                 span = seconds(t) * 1000 * page * pages
                 out += [_Window(s, t, x, min(x + span - seconds(t) * 1000, end)) for x in window_starts(start, end, t, page * pages)]
-        return out or [_Window("", "", 1, 0)]  # a scan needs a partition; this one is empty
+        return out or [_Window("", "1m", 1, 0)]  # a scan needs a partition; this one is empty
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         module, _, name = self.o["fetcher"].partition(":")
