@@ -91,7 +91,7 @@ def load(spark: SparkSession, data_dir: str, symbol: str, timeframe: str, year:
 
 
 def save(df: DataFrame, data_dir: str, symbol: str | None = None, timeframe: str | None = None) -> None:
-    """Upserts candles: new rows win, rows in the wrong month's folder go, other months stay untouched. Nothing is done for an empty frame.
+    """Upserts candles: new rows win, rows in the wrong month's folder go, other months stay untouched. An empty frame changes nothing.
 
     Symbol and timeframe may be given or be columns. Rows of one timestamp within df are ordered by its ingest_seq, or
     else as they come.
@@ -111,8 +111,6 @@ def save(df: DataFrame, data_dir: str, symbol: str | None = None, timeframe: str
         newer = df.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
         rank = F.struct("_new", "ingest_seq")
         df = S.keep_last(newer.withColumn("_rank_by", rank), seq="_rank_by").drop("_new", "_rank_by")
-    if df.isEmpty():
-        return
     last = F.lit(datetime.now().timestamp() * 1e6).cast("long")  # noqa: DTZ005
     df = df.withColumn("ingest_seq", F.greatest("ingest_seq", last))
     out = df.repartition(*PARTS).sortWithinPartitions(*PARTS, "timestamp")
