@@ -15,9 +15,9 @@ never all pairs, and a distributed star contraction joins the forests.
 Two bits of 64 is nearly a copy. For near copies at a given similarity (``similar``, ``keep_one``) no tree helps: at 0.8 Jaccard the
 distance is ten bits and more, where random pairs begin at twenty, and every shard would overlap every other. There, texts are
 also linked through passages: runs of words cut where a shingle's hash says so, so that an edit changes one passage and
-leaves the others equal. Each passage links its texts to one of them, drawn by hash and so another one for each passage, and a link
+leaves the others equal. Each passage links its texts to ``DRAWN`` of them, drawn by hash and so others for each passage, and a link
 counts if wide fingerprints (512 bits) agree in the share that the similarity makes likely. A pair of near copies shares
-many passages that no other text has; a passage in a third of all texts costs one link per text.
+many passages that no other text has; a passage in a third of all texts costs DRAWN links per text.
 
 Null and empty texts have fingerprint zero, linked like any other. A null doc_id takes part; components name the
 smallest id that is not null. Rows repeat in the result as they do in the input. An empty table gives no rows.
@@ -34,11 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, keep
+from wickwork.llm.common import cut, keep, redealt
 
 #: Fingerprints that the tree is fitted on, at most about this many; all are routed through it.
 SAMPLE = 200_000
 LEAF, LARGEST_LEAF, BLOCK = 4096, 65_536, 512
+DRAWN, RUN = 3, 16
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -217,9 +218,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(F.col("u").alias("k"), "m")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(redealt(F.col("u")).alias("k"), "m")
         large = both.join(low, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
+        low = large.groupBy("u").agg(F.min("v").alias("m")).select(redealt(F.col("u")).alias("k"), "m")
         small = large.join(low, F.col("u") == F.col("k")).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
         e = cut(small.select("x.u", "x.v").where("u <> v").distinct())
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
@@ -267,7 +268,7 @@ def _sketch(text: str | None, shingle: int, run: int) -> tuple[int, list[int], l
 _WIDE = np.random.default_rng(97).integers(0, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def sketches(documents: DataFrame, shingle: int = 5, run: int = 24) -> DataFrame:
+def sketches(documents: DataFrame, shingle: int = 5, run: int = RUN) -> DataFrame:
     """(doc_id, t, fp, wide, passages) per document."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +298,9 @@ def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8, rad
     for end in ("u", "v"):
         near = near.join(heads.select(F.col("fp").alias("f"), F.col("head").alias("h")), F.col(end) == F.col("f")).drop("f", end).withColumnRenamed("h", end)
     held = texts.select("t", F.explode("passages").alias("p"))
-    drawn = held.groupBy(F.col("p").alias("q")).agg(F.min(F.struct(F.xxhash64("p", "t").alias("o"), "t")).alias("r"), F.count("*").alias("c")).where("c > 1").select("q", F.col("r.t").alias("r"))
+    lots = [F.min(F.struct(F.xxhash64("p", "t", F.lit(i)).alias("o"), "t")).alias(f"r{i}") for i in range(DRAWN)]
+    drawn = held.groupBy(F.col("p").alias("q")).agg(F.count("*").alias("c"), *lots).where("c > 1")
+    drawn = drawn.select(redealt(F.col("q")).alias("q"), F.explode(F.array_distinct(F.array(*(F.col(f"r{i}.t") for i in range(DRAWN))))).alias("r"))
     pairs = held.join(drawn, F.col("p") == F.col("q")).where("t <> r").select(F.greatest("t", "r").alias("u"), F.least("t", "r").alias("v")).distinct()
     for end in ("u", "v"):
         pairs = pairs.join(texts.select(F.col("t").alias(f"t_{end}"), F.col("wide").alias(f"w_{end}")), F.col(end) == F.col(f"t_{end}"))
@@ -311,7 +314,7 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     """One document of each group of similar ones, all columns: the one with the smallest doc_id (of repeated rows, one)."""
     c = keep(similar(documents, **options))
     by = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "t")
-    best = c.groupBy(F.col("root").alias("c")).agg(F.min(by).alias("best"))
+    best = keep(c.groupBy(F.col("root").alias("c")).agg(F.min(by).alias("best"), F.count("*").alias("n")).where("n > 1").select("c", "best"))
     rest = c.join(best, F.col("root") == F.col("c")).where(by != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
     boxed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_x"))
     kept = boxed.join(rest, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t")), "left_anti")
