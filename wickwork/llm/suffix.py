@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from wickwork.llm.common import cut, keep, partitions
 
-LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 10_000, 1 << 20
+LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 2_000, 1 << 20
 _RNG = np.random.default_rng(20_240_229)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RNG.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
