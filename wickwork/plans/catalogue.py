@@ -18,7 +18,7 @@ from wickwork.operators import vif as V
 from wickwork.operators.indicators import REGISTRY, add_indicators, output_name
 from wickwork.operators.indicators.synthetic import synthetic
 from wickwork.plans import sql
-from wickwork.sources import store
+from wickwork.sources import exchange, store
 from wickwork.sources.candles import from_events
 
 QUERIES: dict = {}
@@ -167,6 +167,37 @@ def synthetic_ohlc(spark, sf_dir):
     return synthetic(candles(spark, sf_dir), "6h", "1h").select("symbol", "timestamp", "high_6h", "low_6h", "close_6h")
 
 
+_REQUESTS = {"symbols": ["AAA/USD", "BAD/USD", "CCC/USD"], "timeframes": ["5m", "1h"], "start": "2024-01-01T00:30:00Z", "end": "2024-01-03T12:10:00Z"}
+
+
+@query(sql.FETCHED)
+def fetch_bounded(spark, sf_dir):
+    """Windows of pages as partitions; the fetcher follows a rule."""
+    return exchange.fetch(spark, "wickwork.sources.sample:fetch", on_error="row", pagesPerTask=2, **_REQUESTS)[0]
+
+
+@query("SELECT DISTINCT 'BAD/USD' AS symbol, unnest(['5m', '1h']) AS timeframe, 'unknown symbol BAD/USD' AS error")
+def fetch_errors(spark, sf_dir):
+    """What could not be fetched, one row per window; here, per request."""
+    return exchange.fetch(spark, "wickwork.sources.sample:fetch", on_error="row", pagesPerTask=2, **_REQUESTS)[1].distinct()
+
+
+@query(f"{sql.candles('6h')} SELECT symbol, timeframe, timestamp, open, high, low, CASE WHEN timestamp >= TIMESTAMP '2024-01-15' THEN close * 2 ELSE close END AS close, volume FROM candles WHERE symbol = 'view'")
+def store_update(spark, sf_dir):
+    """A stored series merged with later candles, of which some are known and corrected."""
+    c, folder = candles(spark, sf_dir, "6h").where("symbol = 'view'"), _folder(spark)
+    store.save(c.where("timestamp < timestamp_ntz'2024-01-20'"), folder)
+    return store.update(spark, folder, "view", "6h", c.where("timestamp >= timestamp_ntz'2024-01-15'").withColumn("close", F.col("close") * 2))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN epoch_us(date_trunc('second', ts)) ELSE -1 END AS us FROM events")
+def timestamp_coercion(spark, sf_dir):
+    """Text timestamps as microseconds; what can't be read is null, here -1."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = F.when(F.col("event_id") % 7 != 0, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).otherwise(F.lit("bad-ts"))
+    return e.select("event_id", F.coalesce(sparsity.timestamp_micros(text, "string"), F.lit(-1)).alias("us"))
+
+
 def _indicator(spark, sf_dir, name, timeframe="1h", **params) -> DataFrame:
     column = output_name(REGISTRY[name], params, timeframe)
     d = add_indicators(candles(spark, sf_dir), [(name, timeframe, params)], "1h", ordered=False)

@@ -189,6 +189,9 @@ SELECT e.symbol, e.timestamp, {rounded} FROM every_row e LEFT JOIN x ON x.symbol
 _SYN = ", ".join(
     f"c{w} AS (SELECT symbol, i.i AS i, b.close AS c{w} FROM i LEFT JOIN (SELECT symbol AS s, i // {w} AS b, arg_max(close, i) AS close FROM i GROUP BY ALL) b ON b.s = i.symbol AND b.b = (i.i + 1) // {w} - 1)" for w in (2, 6)
 )
+FETCHED = """WITH r(timeframe, s, lo, hi) AS (VALUES ('5m', 300, TIMESTAMP '2024-01-01 00:30:00', TIMESTAMP '2024-01-03 12:10:00'), ('1h', 3600, TIMESTAMP '2024-01-01 01:00:00', TIMESTAMP '2024-01-03 12:00:00')),
+c AS (SELECT timeframe, s, unnest(generate_series(lo, hi, to_seconds(s))) AS timestamp FROM r), n AS (SELECT *, epoch(timestamp)::BIGINT // s AS n FROM c)
+SELECT unnest(['AAA/USD', 'CCC/USD']) AS symbol, timeframe, timestamp, (n % 97)::DOUBLE AS open, (n % 97 + 2)::DOUBLE AS high, (n % 97 - 1)::DOUBLE AS low, (n % 97 + 1)::DOUBLE AS close, (n % 13)::DOUBLE AS volume FROM n"""
 BATCH = f"""{candles("1h")}, i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i FROM candles), {_SYN},
 a AS (SELECT symbol, timestamp, i, close - lag(close, 10) {_over()} AS mom, close / lag(close, 5) {_over()} - 1 AS roc, close, min(low) {_over(14)} AS l, max(high) {_over(14)} AS h, avg(close) {_over(20)} AS m, stddev_pop(close) {_over(20)} AS s FROM i),
 m AS (SELECT symbol, i, CASE WHEN i >= 8 THEN c6 - lag(c6, 3) {_over()} END AS v FROM c6),
