@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, keep, partitions
+from wickwork.llm.common import cut, keep, partitions, redealt
 
 LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 2_000, 1 << 20
 _RNG = np.random.default_rng(20_240_229)
@@ -246,7 +246,7 @@ def spans_by_row(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     occ = occurrences(base, length, gram)
     occ = keep(occ.join(twice, F.col("anchor") == F.col("a")).drop("a"))
     segs = keep(occ.groupBy("anchor", "seg").agg(F.min(F.struct("rid", "at")).alias("f")).select("anchor", "seg", "f.rid", "f.at"))
-    many = segs.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where(F.col("c") > hot).select("a", F.lit(True).alias("hot"))
+    many = segs.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where(F.col("c") > hot).select(redealt(F.col("a")).alias("a"), F.lit(True).alias("hot"))
     shards = max(1, -(-segs.count() // per_shard))
     flagged = segs.join(many, F.col("anchor") == F.col("a"), "left").select("anchor", "seg", "rid", "at", F.coalesce("hot", F.lit(False)).alias("hot"))
     lists = flagged.groupBy(F.col("rid").alias("r")).agg(F.collect_list(F.struct("anchor", "seg", "at", "hot")).alias("segs"))
