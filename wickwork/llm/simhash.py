@@ -196,7 +196,7 @@ def links(nodes: DataFrame, radius: int = 2, sample: int = SAMPLE, leaf: int = L
     """(u, v), u > v: edges between fingerprints that connect all those linked by at most radius bits."""
     n = nodes.count()
     some = nodes.where(F.abs(F.xxhash64("fp") % 1_000_003) < int(np.ceil(1_000_003 * min(1.0, sample / max(1, n)))))
-    tree = Tree(np.array([r[0] for r in some.collect()], np.int64).view(np.uint64), n, radius, leaf)
+    tree = Tree(some.select("fp").toArrow().column("fp").to_numpy().astype(np.int64).view(np.uint64), n, radius, leaf)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -232,7 +232,7 @@ def components(edges: DataFrame) -> DataFrame:
 def cluster(documents: DataFrame, radius: int = 2, shingle: int = 3, **search) -> DataFrame:
     """(doc_id, t, fp, component_id) per document."""
     fps = cut(fingerprints(documents, shingle))
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
     roots = components(links(nodes, radius, **search))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -292,7 +292,7 @@ def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8, rad
     """(doc_id, t, root) per document: root is equal for documents that links connect."""
     s = keep(sketches(documents, shingle))
     texts = keep(s.groupBy("t").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("passages").alias("passages")))
-    heads = texts.groupBy("fp").agg(F.min("t").alias("head"))
+    heads = keep(texts.groupBy("fp").agg(F.min("t").alias("head")))
     close = texts.select("t", F.col("fp").alias("f")).join(heads, F.col("f") == F.col("fp")).where("t <> head").select(F.col("t").alias("u"), F.col("head").alias("v"))
     near = links(heads, radius, **search)
     for end in ("u", "v"):
