@@ -235,8 +235,8 @@ def cluster(documents: DataFrame, radius: int = 2, shingle: int = 3, **search) -
     nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
     roots = components(links(nodes, radius, **search))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = named.join(ids, "root").select(F.col("fp").alias("f"), "component_id")
+    ids = named.groupBy("root").agg(F.min("id").alias("component_id")).select(redealt(F.col("root")).alias("r"), "component_id")
+    named = named.join(ids, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     return fps.join(named, F.col("fp") == F.col("f")).select("doc_id", "t", "fp", "component_id")
 
 
