@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from wickwork.llm.common import cut, keep, partitions, redealt
 
-LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 2_000, 1 << 20
+LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 2_000, 1 << 19
 _RNG = np.random.default_rng(20_240_229)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RNG.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -296,6 +296,13 @@ def spans_by_row(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     return keep(mine.union(later).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, where texts are held unpacked."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def packed(documents: DataFrame) -> DataFrame:
     """documents as (rid, doc_id, z, n_bytes, row): z the compressed text, row the other columns; kept in the shared folder, dealt by rid.
 
@@ -307,7 +314,7 @@ def packed(documents: DataFrame) -> DataFrame:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
-        for b in batches:
+        for b in _slices(batches):
             raw = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack(x) for x in raw], pa.binary()), pa.array([len(x) for x in raw], pa.int64()), b.column(3)], ["rid", "doc_id", "z", "n_bytes", "row"])
 
@@ -372,7 +379,7 @@ def without_repeats(documents: DataFrame, **options) -> DataFrame:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in _slices(batches):
             text = [remaining(unpack(z.as_py()), merge(s.as_py())).decode("utf-8", "ignore") if s.is_valid else None for z, s in zip(b.column(1), b.column(2), strict=True)]
             whole = [unpack(z.as_py()).decode("utf-8", "surrogatepass") if t is None else t for z, t in zip(b.column(1), text, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(whole, pa.string()), pa.array([t is not None for t in text])], ["row", "text", "new"])
