@@ -141,7 +141,8 @@ class Mix:
         b = self.block
         parts = streams.where("size > 0").select("row", "sid", "start", "size", "passes", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
         parts = parts.select("row", "sid", "block", "passes", F.greatest(F.lit(0), F.col("block") * b - F.col("start")).alias("lo"), F.least(F.col("size"), (F.col("block") + 1) * b - F.col("start")).alias("hi"))
-        times = self.slots().groupBy("sid", "block").agg(F.count("*").alias("times"))
+        # the planner sees only the few draws that slots come from, and would broadcast what grows with the corpus
+        times = self.slots().groupBy("sid", "block").agg(F.count("*").alias("times")).hint("merge")
         return parts.join(times, ["sid", "block"]).select("row", "lo", (F.col("hi") - F.col("lo")).alias("n"), "times", "passes")
 
     def result(self) -> DataFrame:
