@@ -100,3 +100,43 @@ def test_edges(empty, odd):
     assert H.near_duplicates(empty).count() == 0 and H.keep_one(empty).count() == 0
     got = H.near_duplicates(odd).collect()
     assert len(got) == 7 and all(r["component_id"] is not None for r in got)
+
+
+def joined(texts):
+    """Components of all pairs with Jaccard similarity of 0.8 and more, by brute force."""
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    own = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]) and own[i] != own[j]:
+                old, new = max(own[i], own[j]), min(own[i], own[j])
+                own = [new if x == old else x for x in own]
+    return own
+
+
+def same_groups(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    root = {r["doc_id"]: r["root"] for r in H.similar(df).collect()}
+    want = joined(texts)
+    got = [root[i] for i in range(len(texts))]
+    assert len(set(zip(want, got, strict=True))) == len(set(want)) == len(set(got))
+    assert {r["doc_id"] for r in H.keep_one(df).collect()} == {i for i, x in enumerate(want) if i == x}
+
+
+def some_words(r, n):
+    return ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def test_similar_is_exact_about_the_limit(spark):
+    """Pairs on both sides of 0.8, many of them within the spread of fingerprints."""
+    r, texts = random.Random(11), []
+    for g in range(120):
+        w = some_words(r, r.choice((60, 150, 300)))
+        v, at = list(w), r.randrange(len(w) // 2)
+        n = int(len(w) * (0.06 + 0.002 * g / 2))
+        v[at : at + n] = some_words(r, n)
+        texts += [" ".join(w), " ".join(v)]
+    same_groups(spark, texts)

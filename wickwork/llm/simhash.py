@@ -12,14 +12,14 @@ of near copies) is salted: its nodes get one of g salts, and each pair of salts
 task the same pruning goes on down to blocks that are compared whole. A task returns a spanning forest of its links,
 never all pairs, and a distributed star contraction joins the forests.
 
-Two bits of 64 is nearly a copy. For near copies at a given similarity (``similar``, ``keep_one``) no tree helps: at 0.8 Jaccard the
-distance is ten bits and more, where random pairs begin at twenty, and every shard would overlap every other. There, texts are
-also linked through passages: runs of words cut where a shingle's hash says so, so that an edit changes one passage and
-leaves the others equal. Each passage links its texts to ``DRAWN`` of them, drawn by hash and so others for each passage, and a link
-counts if wide fingerprints (512 bits) agree in the share that the similarity makes likely. A pair of near copies shares
-many passages that no other text has; a passage in a third of all texts costs DRAWN links per text.
-
-Null and empty texts have fingerprint zero, linked like any other. A null doc_id takes part; components name the
+For near copies at a given Jaccard similarity of their sets of shingles (``similar``, ``keep_one``) fingerprints only estimate. There the sets are
+joined exactly, by prefix filter: with each set sorted by how many texts hold a shingle, two sets can reach the similarity s only if they share
+one of the first n - ceil(s n) + 1 of their n shingles, and enough of them are left from the first shared one on. Shingles of a single text come first in
+that order and are never keys, so a text with too few others has no near copies and is left out. Each candidate pair is tested on the whole sets.
+The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with ``DRAWN`` of them, then,
+between the components that this gives, all that is left: whatever two texts of a key are not connected yet is compared.
+
+Null and empty texts have fingerprint zero, linked like any other; as sets of shingles they are equal. A null doc_id takes part; components name the
 smallest id that is not null. Rows repeat in the result as they do in the input. An empty table gives no rows.
 """
 
@@ -31,15 +31,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, keep, redealt
+from wickwork.llm.common import SPACES, cut, keep, redealt
 
 #: Fingerprints that the tree is fitted on, at most about this many; all are routed through it.
 SAMPLE = 200_000
 LEAF, LARGEST_LEAF, BLOCK = 4096, 65_536, 512
-DRAWN, RUN = 3, 16
+DRAWN = 2
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -245,69 +245,78 @@ def near_duplicates(documents: DataFrame, **options) -> DataFrame:
     return cluster(documents, **options).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _sketch(text: str | None, shingle: int, run: int) -> tuple[int, list[int], list[int]]:
-    """(fingerprint, eight words of the wide fingerprint, keys of the passages)."""
-    import xxhash
-
-    raw, starts, ends = _shingles(text, shingle)
-    of = xxhash.xxh64_intdigest
-    hashes = np.array([of(raw[a:b], 42) for a, b in zip(starts, ends, strict=True)], np.uint64)
-    wide = []
-    for k in _WIDE:
-        counts = np.zeros(2048, np.int64)
-        for at in range(0, len(hashes), 1 << 16):
-            h = hashes[at : at + (1 << 16)] * k
-            h ^= h >> np.uint64(31)
-            counts += np.bincount((h.view(np.uint8).reshape(-1, 8) + (np.arange(8) << 8)).ravel(), minlength=2048)
-        wide.append(int(np.packbits(2 * (counts.reshape(8, 256) @ _BITS).ravel() > len(hashes), bitorder="little").view(np.int64)[0]))
-    cuts = [0, *(np.flatnonzero(hashes % np.uint64(run) == 0) + 1).tolist(), len(hashes)]
-    keys = {of(raw[starts[a] : ends[b - 1]], 42) for a, b in zip(cuts, cuts[1:], strict=False) if a < b}
-    return _bits(raw, starts, ends), wide, sorted(keys)
+def _hashes(documents: DataFrame, shingle: int) -> DataFrame:
+    """(t, n, h) per distinct text and distinct shingle: h the shingle's hash, n how many the text has."""
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-_WIDE = np.random.default_rng(97).integers(0, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
+        of = xxhash.xxh64_intdigest
+        for b in batches:
+            for t, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                raw, starts, ends = _shingles(text.as_py(), shingle)
+                h = np.unique(np.array([of(raw[x:y], 42) for x, y in zip(starts, ends, strict=True)], np.uint64).view(np.int64))
+                for at in range(0, len(h), 1 << 16):
+                    part = h[at : at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t)), pa.array(np.full(len(part), len(h), np.int32)), pa.array(part)], ["t", "n", "h"])
 
-def sketches(documents: DataFrame, shingle: int = 5, run: int = RUN) -> DataFrame:
-    """(doc_id, t, fp, wide, passages) per document."""
+    texts = documents.select(F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).dropDuplicates(["t"])
+    return texts.mapInArrow(work, "t long, n int, h long")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [_sketch(x.as_py(), shingle, run) for x in b.column(2)]
-            fp = np.array([f[0] for f in found], np.uint64).view(np.int64)
-            keys = [np.array(f[2], np.uint64).view(np.int64) for f in found]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp), pa.array([f[1] for f in found], pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "t", "fp", "wide", "passages"])
 
-    rows = documents.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, t long, fp long, wide array<long>, passages array<long>")
+def _least(n: Column, share: float) -> Column:
+    """The least whole number that is not under share * n, rounding errors aside."""
+    return F.ceil(n * share - 1e-6).cast("int")
 
 
-def apart(similarity: float) -> float:
-    """The share of differing fingerprint bits up to which a pair counts at a Jaccard similarity: what it gives on average, and two standard deviations more for 512 bits."""
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return p + 2 * float(np.sqrt(p * (1 - p) / 512))
+def _verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
+    """(u, v): the pairs whose sets of shingles reach the similarity; lists hold all shingles that two texts can have in common."""
+    for end in ("u", "v"):
+        pairs = pairs.join(lists.select(F.col("t").alias(f"t_{end}"), F.col("n").alias(f"n_{end}"), F.col("own").alias(f"o_{end}")), F.col(end) == F.col(f"t_{end}"))
+    common = F.size(F.array_intersect("o_u", "o_v"))
+    return pairs.where(common >= similarity * (F.col("n_u") + F.col("n_v") - common) - 1e-6).select("u", "v")
 
 
-def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = 2, **search) -> DataFrame:
+def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, t, root) per document: root is equal for documents that links connect."""
-    s = keep(sketches(documents, shingle))
-    texts = keep(s.groupBy("t").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"), F.first("passages").alias("passages")))
-    heads = keep(texts.groupBy("fp").agg(F.min("t").alias("head")))
-    close = texts.select("t", F.col("fp").alias("f")).join(heads, F.col("f") == F.col("fp")).where("t <> head").select(F.col("t").alias("u"), F.col("head").alias("v"))
-    near = links(heads, radius, **search)
-    for end in ("u", "v"):
-        near = near.join(heads.select(F.col("fp").alias("f"), F.col("head").alias("h")), F.col(end) == F.col("f")).drop("f", end).withColumnRenamed("h", end)
-    held = texts.select("t", F.explode("passages").alias("p"))
-    lots = [F.min(F.struct(F.xxhash64("p", "t", F.lit(i)).alias("o"), "t")).alias(f"r{i}") for i in range(DRAWN)]
-    drawn = held.groupBy(F.col("p").alias("q")).agg(F.count("*").alias("c"), *lots).where("c > 1")
-    drawn = drawn.select(redealt(F.col("q")).alias("q"), F.explode(F.array_distinct(F.array(*(F.col(f"r{i}.t") for i in range(DRAWN))))).alias("r"))
-    pairs = held.join(drawn, F.col("p") == F.col("q")).where("t <> r").select(F.greatest("t", "r").alias("u"), F.least("t", "r").alias("v")).distinct()
-    for end in ("u", "v"):
-        pairs = pairs.join(texts.select(F.col("t").alias(f"t_{end}"), F.col("wide").alias(f"w_{end}")), F.col(end) == F.col(f"t_{end}"))
-    differ = F.aggregate(F.zip_with("w_u", "w_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, x: n + x)
-    pairs = pairs.where(differ <= int(512 * apart(similarity))).select("u", "v")
-    roots = components(close.union(near.select("u", "v")).union(pairs))
-    return s.select("doc_id", "t").join(roots, F.col("t") == F.col("node"), "left").select("doc_id", "t", F.coalesce("root", "t").alias("root"))
+    held = _hashes(documents, shingle).withColumn("c", F.count("*").over(Window.partitionBy("h"))).where("c > 1")
+    lists = keep(held).groupBy("t").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "h"))).alias("own"))
+    lists = lists.withColumn("own", F.col("own.h")).withColumn("more", F.size("own") - _least(F.col("n"), similarity) + 1)
+    lists = keep(lists.where("more > 0"))
+
+    def keys(rows: DataFrame, *columns: str) -> DataFrame:
+        """The prefix of each list by key h; left is how many of the text's shingles come from there on."""
+        d = rows.select("t", "n", *columns, F.size("own").alias("m"), F.posexplode(F.slice("own", F.lit(1), F.col("more"))).alias("j", "h"))
+        return d.select("h", "t", "n", *columns, (F.col("m") - F.col("j")).alias("left"))
+
+    def can(a: str, b: str) -> Column:
+        return F.least(f"{a}left", f"{b}left") >= _least(F.col(f"{a}n") + F.col(f"{b}n"), similarity / (1 + similarity))
+
+    def both(a: str, b: str) -> list[Column]:
+        return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
+
+    lots = [F.min(F.struct(F.xxhash64("t", F.lit(i)).alias("o"), "t", "n", "left")).alias(f"r{i}") for i in range(DRAWN)]
+    drawn = keys(lists).groupBy("h").agg(F.count("*").alias("c"), *lots).where("c > 1")
+    drawn = drawn.select(redealt(F.col("h")).alias("q"), F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"r{i}")[x].alias(f"r_{x}") for x in ("t", "n", "left"))) for i in range(DRAWN))))).alias("r")).select("q", "r.*")
+    pairs = keys(lists).join(drawn, F.col("h") == F.col("q")).where((F.col("t") != F.col("r_t")) & can("", "r_")).select(*both("t", "r_t")).distinct()
+    first = keep(_verified(pairs, lists, similarity))
+
+    roots = components(first)
+    rooted = keep(lists.join(roots, F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
+    per = keys(rooted, "root").groupBy("h", "root").agg(F.count("*").alias("c"))
+    per = per.groupBy("h").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most")).where("roots > 1")
+    per = per.select(redealt(F.col("h")).alias("q"), F.col("most.root").alias("most"))
+    mixed = keep(keys(rooted, "root").join(per, F.col("h") == F.col("q")).drop("q"))
+    few = mixed.where("root <> most").select(*(F.col(x).alias(f"f_{x}") for x in ("h", "t", "n", "left", "root")))
+    once = (F.col("root") == F.col("most")) | (F.col("t") < F.col("f_t"))
+    pairs = few.join(mixed, (F.col("h") == F.col("f_h")) & (F.col("root") != F.col("f_root")) & once & can("", "f_")).select(*both("t", "f_t")).distinct()
+    second = _verified(pairs, lists, similarity)
+
+    ids = documents.select("doc_id", F.xxhash64("text").alias("t"), (F.btrim(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACES)) == "").alias("blank"))
+    blank = ids.where("blank").select("t").distinct()
+    blank = blank.crossJoin(blank.agg(F.min("t").alias("head"))).select(F.col("t").alias("u"), F.col("head").alias("v"))
+    roots = components(first.union(second).union(blank))
+    return ids.join(roots, F.col("t") == F.col("node"), "left").select("doc_id", "t", F.coalesce("root", "t").alias("root"))
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
