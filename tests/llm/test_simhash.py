@@ -140,3 +140,16 @@ def test_similar_is_exact_about_the_limit(spark):
         v[at : at + n] = some_words(r, n)
         texts += [" ".join(w), " ".join(v)]
     same_groups(spark, texts)
+
+
+def test_similar_finds_pairs_in_a_frequent_passage(spark):
+    """Near copies whose common passage stands in all texts, and a chain of which only neighbours are similar."""
+    r = random.Random(12)
+    passage, chain, texts = some_words(r, 60), some_words(r, 500), []
+    for g in range(150):
+        own = some_words(r, 20 if g % 2 else 30)
+        new = list(own)
+        new[r.randrange(1, len(own) - 1)] = some_words(r, 1)[0]
+        texts += [" ".join(passage + own), " ".join(passage + new)]
+    texts += [" ".join(chain[i : i + 200]) for i in range(0, 300, 14)]
+    same_groups(spark, texts)
