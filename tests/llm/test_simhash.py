@@ -153,3 +153,11 @@ def test_similar_finds_pairs_in_a_frequent_passage(spark):
         texts += [" ".join(passage + own), " ".join(passage + new)]
     texts += [" ".join(chain[i : i + 200]) for i in range(0, 300, 14)]
     same_groups(spark, texts)
+
+
+def test_similar_finds_short_texts(spark):
+    r, texts = random.Random(13), ["one two", "one  Two", "one", "", " \n"]
+    for g in range(240):
+        w = some_words(r, (5, 12, 15, 20, 25, 30, 40, 60)[g % 8])
+        texts += [" ".join(w), " ".join((w[:-1] + ["last"], ["first"] + w[1:], w + ["and", "more"])[g // 8 % 3])]
+    same_groups(spark, [t.lower() for t in texts])
