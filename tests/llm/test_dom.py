@@ -63,3 +63,18 @@ def test_frame(spark):
     got = sorted(((r["page_id"], r["url"], r["n_chars"]) for r in dom.main_text(df).collect()), key=str)
     assert got == [(1, "u", 0), (2, None, 0), (2, None, len(dom.extract(f"<article>{ARTICLE}</article>")))]
     assert dom.main_text(df.limit(0)).columns == ["page_id", "url", "text", "n_chars"] and dom.main_text(df.limit(0)).count() == 0
+
+
+def test_formulas_and_open_svg():
+    formula = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>"
+    seen = lambda page: " ".join("".join(t for _, t in dom.parse(page)[1]).split())
+    assert seen(f"<p>That {formula} holds.</p>") == "That E=mc2 holds."
+    whole = dom.extract(f"<article>{ARTICLE}</article>")
+    assert whole and dom.extract(f"<article>{ARTICLE.replace('<p>', f'<p>{formula} ', 1)}</article>").replace("E=mc2 ", "", 1) == whole
+    assert seen("<p>one <svg><path d='M0'/><p>two") == "one two"
+    assert seen("<p>one <svg> two") == "one two"
+    assert seen("<svg><circle><div>one</div><svg><g></g></svg><p>two") == "onetwo"
+    assert seen("one <svg><svg><text>x</text></svg><foreignObject><p>y</p></foreignObject></svg> two <svg/> three") == "one two three"
+    assert seen("<svg>" * 30_000 + "<g>one") == "one"
+    for tag in ("svg", "math"):
+        assert dom.extract(f"<article><{tag}>{ARTICLE}</article>") == whole

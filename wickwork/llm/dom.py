@@ -7,7 +7,8 @@ counts if its node's marginal is over one half. Weights are fitted by ``fit`` on
 the conditional likelihood; ``html_model.json`` holds those fitted on the pages of ``dom_pages.labelled`` (seed 1).
 
 The whole html is read. Null or empty html gives an empty text. Broken markup is read as it comes: an end tag without
-a start is skipped, an open paragraph or list item ends where the next block begins, what is still open ends with the page.
+a start is skipped, an open paragraph or list item ends where the next block begins, what is still open ends with the page, but an svg
+without an end tag where the next block begins. Formulas in math are text.
 """
 
 from __future__ import annotations
@@ -28,7 +29,10 @@ BLOCKS = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup iframe legend li main menu nav ol option p pre search section select summary table tbody td textarea tfoot th thead tr ul".split()
 )
-RAW = frozenset(("script", "style", "title", "noscript", "template", "svg", "math", "object", "audio", "video", "canvas", "iframe"))
+RAW = frozenset(("script", "style", "title", "noscript", "template", "svg", "object", "audio", "video", "canvas", "iframe"))
+#: Start tags that end an svg left open, as in HTML parsers, and the elements of an svg that HTML may stand in.
+_BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+_HOSTS = frozenset(("foreignobject", "desc", "title"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Marks in class, id and role, by what they tell of.
 MARKS = {
@@ -60,6 +64,27 @@ class Node:
         self.words = self.linked = self.links = self.stops = 0
 
 
+def _after_svg(page: str, start: int) -> dict[int, int]:
+    """Where the page goes on after the svg whose start tag ends at start, and after each one inside: without an end tag at the next block, or else right there."""
+    found, at = {}, start
+    stack = [[start, 0]]  # open ones, with how many of _HOSTS are open in each
+    while stack and (m := _TOKEN.search(page, at)):
+        at = m.end()
+        name = (m[2] or "").lower()
+        if name in _BREAKS and not m[1]:
+            while stack and not stack[-1][1]:
+                found[stack.pop()[0]] = m.start()
+        elif (m[3] or "").rstrip().endswith("/"):
+            continue
+        elif name == "svg" and m[1]:
+            found[stack.pop()[0]] = at
+        elif name == "svg":
+            stack.append([at, 0])
+        elif name in _HOSTS:
+            stack[-1][1] = max(0, stack[-1][1] + (-1 if m[1] else 1))
+    return found | {x: x for x, _ in stack}
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """(nodes, parents first; text blocks in page order as (node, raw text))."""
     nodes = [Node("body", (), -1, None, False)]
@@ -68,6 +93,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     text: list[str] = []
     owner = 0
     in_link = False
+    after: dict[int, int] = {}
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -108,6 +134,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
                     break
             continue
         if name in RAW:
+            if name == "svg":
+                if not m[3].rstrip().endswith("/"):
+                    if at not in after:
+                        after |= _after_svg(page, at)
+                    at = after[at]
+                continue
             close = re.compile(rf"</{name}\s*>", re.I).search(page, at) if not m[3].rstrip().endswith("/") else None
             at = close.end() if close else (at if m[3].rstrip().endswith("/") else end)
             continue
