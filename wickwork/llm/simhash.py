@@ -16,8 +16,8 @@ For near copies at a given Jaccard similarity of their sets of shingles (``simil
 joined exactly, by prefix filter: with each set sorted by how many texts hold a shingle, two sets can reach the similarity s only if they share
 one of the first n - ceil(s n) + 1 of their n shingles, and enough of them are left from the first shared one on. Shingles of a single text come first in
 that order and are never keys, so a text with too few others has no near copies and is left out. Each candidate pair is tested on the whole sets.
-The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with ``DRAWN`` of them, then,
-between the components that this gives, all that is left: whatever two texts of a key are not connected yet is compared.
+The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with ``DRAWN`` of them and, in further
+rounds, with one of the key's largest component; then, between the components that this gives, all that is left: whatever two texts of a key are not connected yet is compared.
 
 Null and empty texts have fingerprint zero, linked like any other; as sets of shingles they are equal. A null doc_id takes part; components name the
 smallest id that is not null. Rows repeat in the result as they do in the input. An empty table gives no rows.
@@ -39,7 +39,7 @@ from wickwork.llm.common import SPACES, cut, keep, redealt
 #: Fingerprints that the tree is fitted on, at most about this many; all are routed through it.
 SAMPLE = 200_000
 LEAF, LARGEST_LEAF, BLOCK = 4096, 65_536, 512
-DRAWN = 2
+DRAWN, ROUNDS = 2, 4
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -261,7 +261,7 @@ def _hashes(documents: DataFrame, shingle: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t)), pa.array(np.full(len(part), len(h), np.int32)), pa.array(part)], ["t", "n", "h"])
 
     texts = documents.select(F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).dropDuplicates(["t"])
-    return texts.mapInArrow(work, "t long, n int, h long")
+    return keep(texts).mapInArrow(work, "t long, n int, h long")
 
 
 def _least(n: Column, share: float) -> Column:
@@ -301,12 +301,16 @@ def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     pairs = keys(lists).join(drawn, F.col("h") == F.col("q")).where((F.col("t") != F.col("r_t")) & can("", "r_")).select(*both("t", "r_t")).distinct()
     first = keep(_verified(pairs, lists, similarity))
 
-    roots = components(first)
-    rooted = keep(lists.join(roots, F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
-    per = keys(rooted, "root").groupBy("h", "root").agg(F.count("*").alias("c"))
-    per = per.groupBy("h").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most")).where("roots > 1")
-    per = per.select(redealt(F.col("h")).alias("q"), F.col("most.root").alias("most"))
-    mixed = keep(keys(rooted, "root").join(per, F.col("h") == F.col("q")).drop("q"))
+    for k in range(ROUNDS):
+        roots = components(first)
+        rooted = keep(lists.join(roots, F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
+        per = keys(rooted, "root").groupBy("h", "root").agg(F.count("*").alias("c"), F.min(F.struct(F.xxhash64("t", F.lit(DRAWN + k)).alias("o"), "t", "n", "left")).alias("r"))
+        per = per.groupBy("h").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root", "r")).alias("most")).where("roots > 1")
+        per = per.select(redealt(F.col("h")).alias("q"), F.col("most.root").alias("most"), *(F.col(f"most.r.{x}").alias(f"r_{x}") for x in ("t", "n", "left")))
+        mixed = keep(keys(rooted, "root").join(per, F.col("h") == F.col("q")).drop("q"))
+        if k < ROUNDS - 1:
+            pairs = mixed.where((F.col("root") != F.col("most")) & can("", "r_")).select(*both("t", "r_t")).distinct()
+            first = keep(first.union(_verified(pairs, lists, similarity)))
     few = mixed.where("root <> most").select(*(F.col(x).alias(f"f_{x}") for x in ("h", "t", "n", "left", "root")))
     once = (F.col("root") == F.col("most")) | (F.col("t") < F.col("f_t"))
     pairs = few.join(mixed, (F.col("h") == F.col("f_h")) & (F.col("root") != F.col("f_root")) & once & can("", "f_")).select(*both("t", "f_t")).distinct()
