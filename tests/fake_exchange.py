@@ -25,3 +25,12 @@ def stuck(symbol, timeframe, since, limit):
 
 def short(symbol, timeframe, since, limit):
     return fetch(symbol, timeframe, since, 7)
+
+
+def newest(symbol, timeframe, since, limit):
+    assert since is None
+    return fetch(symbol, timeframe, FIRST + (721 - limit) * 60_000, limit)
+
+
+def twice(symbol, timeframe, since, limit):
+    return [[FIRST, 1.0, 2.0, 0.5, c, 1.0] for c in (1.0, 9.0)]

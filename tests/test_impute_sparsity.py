@@ -1,4 +1,6 @@
+import shutil
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 
@@ -89,3 +91,67 @@ def test_mixed_files(spark, candles, tmp_path):
         got = sparsity.read_timestamps(spark, files)
     r = sparsity.report(got, file="file").first()
     assert (r["actual"], r["files_processed"]) == (3, 2)
+
+
+def month_file(spark, folder, rows, kind="timestamp_ntz"):
+    """rows of (text) written as one Parquet file, timestamps as kind."""
+    path = Path(folder)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    spark.createDataFrame([(r,) for r in rows], "t string").selectExpr(f"cast(t as {kind}) as timestamp", "1 as close").coalesce(1).write.parquet(f"file://{path}.new")
+    next(Path(f"{path}.new").glob("*.parquet")).rename(path)
+    shutil.rmtree(f"{path}.new")
+
+
+def test_assets_whose_files_have_equal_tails(spark, tmp_path):
+    month_file(spark, tmp_path / "a b" / "aave-usdc/1m/2025/01.parquet", ["2025-01-01 00:00:00", "2025-01-01 00:01:00", "2025-01-01 00:02:00"])
+    month_file(spark, tmp_path / "a b" / "btc-usdc/1m/2025/01.parquet", [f"2025-01-01 00:0{i}:00" for i in range(5)])
+    month_file(spark, tmp_path / "a b" / "eth-usdc/1m/2025/01.parquet", [f"2025-01-01 00:0{i}:00" for i in range(4)], "string")
+    got = {r["asset"]: (r["actual"], r["files_processed"]) for r in sparsity.report_path(spark, str(tmp_path / "a b")).collect()}
+    assert got == {"aave-usdc": (3, 1), "btc-usdc": (5, 1), "eth-usdc": (4, 1)}
+
+
+def test_a_folder_with_odd_names(spark, tmp_path):
+    for name in ("aave-usdc/1m/2025/01", "aave-usdc/1m/2025/1", "aave-usdc/1m/25/01", "aave-usdc/1M/2025/01", "AAVE-USDC/1m/2025/01"):
+        month_file(spark, tmp_path / f"{name}.parquet", ["2025-01-01 00:00:00"])
+    month_file(spark, tmp_path / "aave-usdc/1m/2025/02.parquet", ["bad-ts", "2025-01-01T00:01:00Z"], "string")
+    (tmp_path / "aave-usdc/1m/2025/03.parquet").write_bytes(b"no Parquet")
+    with pytest.warns(UserWarning) as seen:
+        got = sparsity.report_path(spark, f"file://{tmp_path}", ["AAVE-usdc", "gone-usdc"]).collect()
+    said = " ".join(str(w.message) for w in seen)
+    assert all(x in said for x in ("'AAVE-USDC'", "'1M'", "'25'", "'1.parquet'", "'gone-usdc'", "03.parquet"))
+    assert [(r["asset"], r["actual"], r["missing"], r["files_processed"]) for r in got] == [("aave-usdc", 2, 0, 2)]
+
+
+def test_nothing_there(spark, tmp_path):
+    with pytest.warns(UserWarning):
+        none = sparsity.report_path(spark, str(tmp_path / "no"))
+    assert none.count() == 0 and none.columns[:2] == ["asset", "timeframe"]
+
+
+def test_files_that_alternate_count_once(spark):
+    rows = [("a-b", "1m", f"2025-01-01 00:{i:02}:00", f"f{i % 2}") for i in range(20)] + [("a-b", "1m", "2025-01-01 00:03:00", "f7")]
+    df = spark.createDataFrame(rows, "symbol string, timeframe string, timestamp string, file string")
+    assert sparsity.report(df, file="file").first()["files_processed"] == 3
+
+
+def test_a_zone_with_summer_time(spark, candles):
+    rows = candles([(60 * h, float(h)) for h in (0, 1, 5, 6)], start=datetime(2024, 3, 10), timeframe="1h")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = impute.ffill(rows, "1h").collect()
+        millis = sorted(r["timestamp"] for r in impute.as_epoch_millis(impute.ffill(rows, "1h")).collect())
+        r = sparsity.report(rows).first()
+        late = spark.createDataFrame([("a-b", "1h", "2024-03-10 02:30:00"), ("a-b", "1h", "2024-03-10T03:30:00Z")], "symbol string, timeframe string, timestamp string")
+        text = sparsity.report(late).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted((r["timestamp"].hour, r["close"], r["is_imputed"]) for r in got) == [(0, 0.0, False), (1, 1.0, False), (2, 1.0, True), (3, 1.0, True), (4, 1.0, True), (5, 5.0, False), (6, 6.0, False)]
+    assert millis[0] == 1710028800000 and (r["actual"], r["expected"], r["range_end"]) == (4, 7, datetime(2024, 3, 10, 6))
+    assert (text["range_start"], text["range_end"], text["expected"]) == (datetime(2024, 3, 10, 2, 30), datetime(2024, 3, 10, 3, 30), 2)
+
+
+def test_first_without_an_order_is_the_same_each_time(candles):
+    df = candles([(0, 3.0), (0, 1.0), (0, 2.0)])
+    assert [r["close"] for r in impute.ffill(df, "5m").collect()] == [1.0] == [r["close"] for r in impute.ffill(df.orderBy("close", ascending=False), "5m").collect()]
+    both = df.selectExpr("*", "cast(4 - close as long) as ingest_seq")
+    assert [r["close"] for r in impute.ffill(both, "5m").collect()] == [3.0]

@@ -118,3 +118,40 @@ def test_too_short_for_any_value(candles):
     assert all(v is None for r in d.collect() for v in r[8:])
     empty = add_indicators(candles(0), [("rsi", "5m", {}), ("cci", "5m", {})], "5m")
     assert empty.count() == 0
+
+
+RECURSIVE = sorted(n for n, i in REGISTRY.items() if i.kernel)
+
+
+@pytest.mark.parametrize("name", RECURSIVE)
+def test_nulls_are_stepped_over(walk, name):
+    """Rows without prices, at the start and inside, have no value; the others have what they would have without those rows."""
+    rows = walk.orderBy("timestamp").collect()
+    holes = {*range(6), 30, 31, 77, 119}
+    holed = walk.sparkSession.createDataFrame([(*r[:3], *((None,) * 5 if k in holes else r[3:8])) for k, r in enumerate(rows)], walk.schema)
+    without = walk.sparkSession.createDataFrame([r for k, r in enumerate(rows) if k not in holes], walk.schema)
+    column = output_name(get(name), {}, "5m")
+    got = {r["timestamp"]: r[column] for r in add_indicator(holed, name, "5m", "5m").collect()}
+    want = {r["timestamp"]: r[column] for r in add_indicator(without, name, "5m", "5m").collect()}
+    assert got == {r["timestamp"]: want.get(r["timestamp"]) for r in rows} and any(v is not None for v in got.values())
+
+
+@pytest.mark.parametrize("name", RECURSIVE)
+def test_no_prices_at_all(candles, name):
+    got = add_indicators(candles([(5 * i, None) for i in range(70)]), [(name, "5m", {})], "5m")
+    assert [r[-1] for r in got.collect()] == [None] * 70
+
+
+def test_one_missing_input_is_enough(walk):
+    holed = walk.withColumn("high", F.when(F.minute("timestamp") != 5, F.col("high")))
+    got = values(add_indicator(holed, "atr", "5m", "5m", timeperiod=3), "atr_3_5m")
+    assert [k for k, v in enumerate(got) if v is None and k > 4] == [k for k in range(5, 120) if k % 12 == 1]
+
+
+def test_scans_are_recursions():
+    r = random.Random(3)
+    for n in (0, 1, 2, 7, 500):
+        b, y, d = [r.random() for _ in range(n)], [], 0.93
+        for x in b:
+            y.append(d * y[-1] + x if y else x)
+        assert R.decayed(b, d).tolist() == pytest.approx(y) and R.decayed(b, d)[: n // 2].tolist() == R.decayed(b[: n // 2], d).tolist()

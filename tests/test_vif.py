@@ -77,3 +77,12 @@ def test_errors(spark):
         vif(df.select("a", "b").limit(1))
     with pytest.raises(ValueError, match="method"):
         vif(df, "nope")
+
+
+def test_jobs_and_chunks_change_nothing(spark, normal):
+    df = frame(spark, normal)
+    one = found(df, "parallel")
+    assert found(df, "parallel", n_jobs=2, chunk_size=7) == pytest.approx(one) and found(df, "streaming", chunk_size=1) == pytest.approx(found(df, "streaming"))
+    for bad in ({"n_jobs": 0}, {"chunk_size": 0}):
+        with pytest.raises(ValueError, match="chunk_size"):
+            vif(df, **bad)

@@ -31,10 +31,10 @@ def _pick(df: DataFrame, by, order: Column) -> DataFrame:
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def keep_last(df: DataFrame, by=("symbol", "timeframe", "timestamp"), seq: str = "ingest_seq") -> DataFrame:
-    """One row per key: the one with the largest seq. A rank filter of 1 is pruned before the shuffle (WindowGroupLimit)."""
-    return _pick(df, by, F.col(seq).desc())
+def keep_last(df: DataFrame, by=("symbol", "timeframe", "timestamp"), seq: str | Column = "ingest_seq") -> DataFrame:
+    """One row per key: the one with the largest seq (a column or its name). A rank filter of 1 is pruned before the shuffle (WindowGroupLimit)."""
+    return _pick(df, by, (F.col(seq) if isinstance(seq, str) else seq).desc())
 
 
-def keep_first(df: DataFrame, by=("symbol", "timeframe", "timestamp"), seq: str = "ingest_seq") -> DataFrame:
-    return _pick(df, by, F.col(seq).asc())
+def keep_first(df: DataFrame, by=("symbol", "timeframe", "timestamp"), seq: str | Column = "ingest_seq") -> DataFrame:
+    return _pick(df, by, (F.col(seq) if isinstance(seq, str) else seq).asc())

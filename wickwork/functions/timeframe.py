@@ -32,7 +32,11 @@ def ratio(timeframe: str, base: str) -> int:
 
 
 def is_base(timeframe: str, base: str) -> bool:
-    return timeframe == base
+    """Whether candles of base make up the timeframe: it is an exact multiple. Unknown names are False, never an error."""
+    try:
+        return ratio(timeframe, base) >= 1
+    except ValueError:
+        return False
 
 
 def naive_utc(value: str | date | datetime) -> datetime:
@@ -91,6 +95,16 @@ def expected_pages_column(start: Column, end: Column, step: Column, page: int =
     return F.greatest(F.lit(1), F.ceil(span / (step * page))).cast("long")
 
 
+#: The epoch as a timestamp without zone.
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
 def micros(ntz: Column) -> Column:
-    """Microseconds since the epoch of a timestamp without zone that holds UTC."""
-    return F.unix_micros(ntz.cast("timestamp"))
+    """Microseconds since the epoch of a timestamp without zone that holds UTC. The session's time zone plays no part: nothing is cast to a timestamp with zone."""
+    whole = F.unix_date(ntz.cast("date")).cast("long") * 86400 + F.hour(ntz) * 3600 + F.minute(ntz) * 60
+    return whole * 1_000_000 + (F.date_part(F.lit("SECOND"), ntz) * 1_000_000).cast("long")
+
+
+def at_micros(us: Column) -> Column:
+    """The timestamp without zone that lies so many microseconds after the epoch; like micros, free of the session's time zone."""
+    return F.expr(EPOCH) + F.make_dt_interval(secs=(us.cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)"))

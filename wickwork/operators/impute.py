@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wickwork.functions import schema as S
-from wickwork.functions.timeframe import micros, seconds
+from wickwork.functions.timeframe import at_micros, micros, seconds
 
 
 def ffill(df: DataFrame, every: str, seq: str | None = None) -> DataFrame:
     """df on the grid from each series' first to its last candle, with is_imputed.
 
-    Of rows with one timestamp the first stays (by seq, where given). Rows off the grid are left out but count for the
+    Of rows with one timestamp the first stays: by seq, else by ingest_seq where there is one, else by the prices themselves, smallest
+    first (nulls last), so that runs agree. Rows off the grid are left out but count for the
     bounds. Prices carry their own last value, a missing volume is 0; nulls in observed rows are filled the
     same way and aren't imputed rows. Timestamps are cut to milliseconds.
     """
     S.need(df, ("timestamp", *S.PRICES))
     keys = S.series_keys(df)
-    df = df.withColumn("timestamp", F.date_trunc("millisecond", "timestamp").cast("timestamp_ntz"))
-    df = S.keep_first(df, (*keys, "timestamp"), seq) if seq else df.dropDuplicates([*keys, "timestamp"])
+    order = F.col(seq or "ingest_seq") if seq or "ingest_seq" in df.columns else F.struct(*(x for c in S.PRICES for x in (F.col(c).isNull(), F.col(c))))
+    df = df.withColumn("timestamp", at_micros(F.floor(micros(F.col("timestamp").cast("timestamp_ntz")) / 1000).cast("long") * 1000))
+    df = S.keep_first(df, (*keys, "timestamp"), order)
     ends = df.groupBy(*keys).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).where("lo is not null")
     grid = _grid(ends, keys, every)
     seen = df.select(*keys, "timestamp", *S.PRICES, F.lit(True).alias("_seen"))

@@ -7,13 +7,14 @@ window operators on one exchange, not a thousand plans. A series is the unit of
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wickwork.functions import schema as S
-from wickwork.functions.timeframe import is_base, ratio, seconds
+from wickwork.functions.timeframe import ratio, seconds
 from wickwork.operators.indicators import synthetic
 from wickwork.operators.indicators.registry import Indicator, get, validate_inputs
 from wickwork.operators.indicators.windowed import Layers
@@ -35,7 +36,7 @@ def _resolve(df: DataFrame, name: str, timeframe: str, base: str, params: dict)
     if unknown:
         raise ValueError(f"{name} has no parameters {', '.join(unknown)}")
     seconds(timeframe)
-    if is_base(timeframe, base):
+    if timeframe == base:
         return indicator, indicator.defaults | params, 1
     if seconds(timeframe) < seconds(base):
         raise ValueError(f"{timeframe} is shorter than the base timeframe {base}")
@@ -99,16 +100,21 @@ def add_indicators(df: DataFrame, specs: list[Spec], base_timeframe: str, ordere
 
 
 def _run_kernels(d: DataFrame, kernels: list) -> DataFrame:
-    """All recursive indicators of a series in one grouped pass; Arrow keeps NaN apart from null."""
+    """All recursive indicators of a series in one grouped pass; Arrow keeps NaN apart from null.
+
+    A row with a null in one of an indicator's inputs has a null value, and the recursion goes from the row before it to the row after it.
+    """
     keys = S.series_keys(d)
     new = [T.StructField(name, T.StructType([T.StructField(f, T.DoubleType()) for f in i.fields]) if i.fields else T.DoubleType()) for name, i, *_ in kernels]
     schema = T.StructType([*d.schema.fields, *new])
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("_i")
+        read = {c: (x.is_valid().to_numpy(zero_copy_only=False), x.cast(pa.float64()).to_numpy(zero_copy_only=False)) for c in {c for *_, cs, _ in kernels for c in cs} for x in [table.column(c).combine_chunks()]}
         for name, indicator, values, columns, skip in kernels:
-            lists = [table.column(c).to_pylist()[skip:] for c in columns]
-            found = [pa.array([None] * min(skip, table.num_rows) + x, pa.float64()) for x in indicator.kernel(*lists, **values)]
+            whole = np.logical_and.reduce([read[c][0] for c in columns])
+            whole[:skip] = False
+            found = [_placed(x, whole) for x in indicator.kernel(*(read[c][1][whole] for c in columns), **values)]
             if indicator.fields:
                 missing = found[-1].is_null()
                 value = pa.StructArray.from_arrays(found, list(indicator.fields), mask=missing)
@@ -124,3 +130,9 @@ def _run_kernels(d: DataFrame, kernels: list) -> DataFrame:
     return d.groupBy(*keys).applyInArrow(run, schema)
 
 
+def _placed(values: list, rows: np.ndarray) -> pa.Array:
+    """values at the rows that are True, null elsewhere."""
+    if rows.all():
+        return pa.array(values, pa.float64())
+    at = np.cumsum(rows) - 1
+    return pa.array([None, *values], pa.float64()).take(pa.array(np.where(rows, at + 1, 0)))

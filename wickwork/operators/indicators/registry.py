@@ -37,6 +37,7 @@ def _n(default: int) -> dict:
     return {"timeperiod": default}
 
 
+#: Names, inputs, parameters with their defaults, lookbacks and fields.
 _ALL = (
     Indicator("ad", _HLCV, {}, lambda: 0, windowed=W.ad),
     Indicator("adosc", _HLCV, {"fastperiod": 3, "slowperiod": 10}, lambda fastperiod, slowperiod: max(fastperiod, slowperiod) - 1, kernel=R.adosc),

@@ -6,8 +6,10 @@ mean, so nothing is lost to large means; a few more tasks merge what tasks found
 
 from __future__ import annotations
 
+import os
 import warnings
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ def _merged(a: tuple | None, n: int, mean: np.ndarray, m2: np.ndarray) -> tuple:
     return total, a[1] + d * (n / total), a[2] + m2 + np.outer(d, d) * (a[0] * n / total)
 
 
-def moments(df: DataFrame, columns: list[str]) -> tuple[int, int, np.ndarray, np.ndarray]:
+def moments(df: DataFrame, columns: list[str], chunk: int = 10_000) -> tuple[int, int, np.ndarray, np.ndarray]:
     """(rows without missing values, rows with, means, Gram matrix of centred columns)."""
     k, parts = len(columns), 8
     schema = "part int, n long, bad long, mean array<double>, m2 array<double>"
@@ -48,13 +50,14 @@ def moments(df: DataFrame, columns: list[str]) -> tuple[int, int, np.ndarray, np
 
         total, bad = None, 0
         for b in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
-            whole = ~np.isnan(x).any(axis=1)
-            bad += int((~whole).sum())
-            x = x[whole]
-            if len(x):
-                mean = x.mean(axis=0)
-                total = _merged(total, len(x), mean, (x - mean).T @ (x - mean))
+            for at in range(0, b.num_rows, chunk):
+                x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.slice(at, chunk).columns]).astype(float)
+                whole = ~np.isnan(x).any(axis=1)
+                bad += int((~whole).sum())
+                x = x[whole]
+                if len(x):
+                    mean = x.mean(axis=0)
+                    total = _merged(total, len(x), mean, (x - mean).T @ (x - mean))
         yield row(TaskContext.get().partitionId() % parts, bad, total)
 
     def over_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,7 +74,7 @@ def moments(df: DataFrame, columns: list[str]) -> tuple[int, int, np.ndarray, np
     return (total[0], bad, *total[1:]) if total else (0, bad, np.zeros(k), np.zeros((k, k)))
 
 
-def factors(g: np.ndarray, method: str, means: np.ndarray | None = None, n: int = 1) -> np.ndarray:
+def factors(g: np.ndarray, method: str, means: np.ndarray | None = None, n: int = 1, jobs: int = 1) -> np.ndarray:
     """VIF by column from the Gram matrix of centred columns."""
     d = np.diag(g).copy()
     scale = np.abs(means) ** 2 * n if means is not None else np.zeros(len(d))
@@ -89,33 +92,43 @@ def factors(g: np.ndarray, method: str, means: np.ndarray | None = None, n: int
             return np.full(len(d), np.inf)
         return np.maximum(np.diag(np.linalg.inv(r)), 1.0)
     out = np.full(len(d), np.inf)
-    for i in np.flatnonzero(~constant):
+
+    def one(i: int) -> None:
         rest = np.flatnonzero(np.arange(len(d)) != i)
         beta = np.linalg.lstsq(r[np.ix_(rest, rest)], r[rest, i], rcond=None)[0]
         left = 1 - r[rest, i] @ beta
         out[i] = 1 / left if left > 1e-14 else np.inf
+
+    with ThreadPoolExecutor(jobs) as pool:
+        list(pool.map(one, np.flatnonzero(~constant)))
     return out
 
 
-def vif(df: DataFrame, method: str = "matrix", threshold: float | None = None, drop_na: bool = True) -> DataFrame:
+def vif(df: DataFrame, method: str = "matrix", threshold: float | None = None, drop_na: bool = True, n_jobs: int = -1, chunk_size: int = 10_000) -> DataFrame:
     """(feature, VIF), of at least threshold where given.
 
+    Columns of type double, float, bigint and int are features; others are left out with a warning. Spark's tasks are the workers, so
+    n_jobs bounds only the threads on the driver that solve the regressions of method parallel (-1: all cores); chunk_size is the number of rows
+    that a task holds as a matrix at once, whatever the size of Arrow batches.
+
     matrix: inverse of the correlations; if they are singular all are infinite. parallel: a regression for each column; a constant
     or fully explained column is infinite, the others are not. streaming: inverse or pseudo-inverse, never infinite.
     Rows with null or NaN are left out, or refused with drop_na=False.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; known: {', '.join(METHODS)}")
+    if chunk_size < 1 or n_jobs == 0:
+        raise ValueError("chunk_size is at least 1, and n_jobs is not 0")
     columns = numeric_columns(df)
     if skipped := [c for c in df.columns if c not in columns]:
         warnings.warn(f"not numeric, left out: {', '.join(skipped)}", stacklevel=2)
     if len(columns) < 2:
         raise ValueError("at least 2 features are needed")
-    n, bad, means, gram = moments(df, columns)
+    n, bad, means, gram = moments(df, columns, chunk_size)
     if bad and not drop_na:
         raise ValueError(f"{bad} rows have missing values")
     if n < 2:
         raise ValueError("at least 2 rows are needed")
-    found = factors(gram, method, means, n)
+    found = factors(gram, method, means, n, n_jobs if n_jobs > 0 else os.cpu_count() or 1)
     out = df.sparkSession.createDataFrame([(c, float(v)) for c, v in zip(columns, found, strict=True)], "feature string, VIF double")
     return out.where(F.col("VIF") >= threshold) if threshold is not None else out

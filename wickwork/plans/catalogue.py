@@ -6,7 +6,8 @@ number of events as volume.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from wickwork.operators import vif as V
 from wickwork.operators.indicators import REGISTRY, add_indicators, output_name
 from wickwork.operators.indicators.synthetic import synthetic
 from wickwork.plans import sql
+from wickwork.session import remove_at_exit, shared_folder
 from wickwork.sources import exchange, store
 from wickwork.sources.candles import from_events
 
@@ -86,11 +88,10 @@ def dedupe_keep_first(spark, sf_dir):
 
 
 def _folder(spark: SparkSession) -> str:
-    """A fresh folder for a query's own store, on what all executors see."""
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="wickwork-")
-    return f"{base.rstrip('/')}/store-{uuid.uuid4().hex}"
+    """A fresh folder for a query's own store, on what all executors see. It goes when the program ends."""
+    folder = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
+    return folder
 
 
 def _stored(spark, sf_dir, timeframe="1h"):
@@ -154,6 +155,26 @@ def sparsity_report(spark, sf_dir):
     return sparsity.report(_assets(spark, sf_dir), [" CLICK-usd", "view-usd", "error-usd", ""])
 
 
+@query(sql.SPARSITY_FILES)
+def sparsity_files(spark, sf_dir):
+    """The report over month files under asset/timeframe/year/MM.parquet, whose timestamps are without zone, with zone, or text; other files there are left out."""
+    folder = _folder(spark)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    series = {"click-usd": "timestamp", "view-usd": "date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")", "error-usd": "if(hour(timestamp) = 3, 'bad-ts', date_format(timestamp, 'yyyy-MM-dd HH:mm:ss'))", "Bad": "timestamp"}
+    for asset, column in series.items():
+        for timeframe, name in (("1h", "01"), ("2h", "01"), ("2h", "1")):
+            c = candles(spark, sf_dir, timeframe).where(F.col("symbol") == asset.split("-")[0].lower() if asset != "Bad" else F.lit(True)).where("month(timestamp) = 1")
+            c.select(F.expr(column).alias("timestamp"), "close").coalesce(1).write.parquet(f"{folder}/new")
+            part = next(s.getPath() for s in fs.listStatus(path(f"{folder}/new")) if s.getPath().getName().endswith(".parquet"))
+            fs.mkdirs(path(f"{folder}/{asset}/{timeframe}/2024"))
+            fs.rename(part, path(f"{folder}/{asset}/{timeframe}/2024/{name}.parquet"))
+            fs.delete(path(f"{folder}/new"), True)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return sparsity.report_path(spark, folder, ["CLICK-usd", "view-usd", "error-usd", "gone-usd"])
+
+
 @query(
     f"{sql.candles('1h')}, d AS (SELECT symbol, timeframe, timestamp, date_diff('second', lag(timestamp) OVER (PARTITION BY symbol ORDER BY timestamp), timestamp) AS s FROM candles) "
     "SELECT symbol || '-usd' AS symbol, timeframe, timestamp, s // 3600 - 1 AS missing, (s - 3600)::DOUBLE AS extra_seconds FROM d WHERE s > 3600"
@@ -182,6 +203,22 @@ def fetch_errors(spark, sf_dir):
     return exchange.fetch(spark, "wickwork.sources.sample:fetch", on_error="row", pagesPerTask=2, **_REQUESTS)[1].distinct()
 
 
+@query(sql.LATEST)
+def fetch_latest(spark, sf_dir):
+    """The newest 40 candles that the exchange has of each series, without those of even hours."""
+    known = spark.range(31 * 24).select(F.lit("AAA/USD").alias("symbol"), F.lit("1h").alias("timeframe"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, id)").alias("timestamp")).where("hour(timestamp) % 2 = 0")
+    return exchange.fetch_latest(spark, "wickwork.sources.sample:fetch", ["AAA/USD", "BAD/USD"], ["5m", "1h"], 40, known, on_error="row")[0]
+
+
+@query(sql.UPDATED)
+def exchange_update(spark, sf_dir):
+    """A stored series brought up to date from the exchange: stored candles stay as they are, newer ones come in."""
+    folder = _folder(spark)
+    old = exchange.fetch(spark, "wickwork.sources.sample:fetch", ["AAA/USD"], ["1h"], start="2024-01-29", end="2024-01-30T12:00:00")[0]
+    store.save(old.withColumn("close", F.lit(0.0)), folder)
+    return exchange.update(spark, folder, "wickwork.sources.sample:fetch", "AAA/USD", "1h", 48)
+
+
 @query(f"{sql.candles('6h')} SELECT symbol, timeframe, timestamp, open, high, low, CASE WHEN timestamp >= TIMESTAMP '2024-01-15' THEN close * 2 ELSE close END AS close, volume FROM candles WHERE symbol = 'view'")
 def store_update(spark, sf_dir):
     """A stored series merged with later candles, of which some are known and corrected."""
@@ -220,6 +257,28 @@ _register("rsi", "ind_rsi_6h_synthetic", "6h")
 _register("mom", "ind_mom_6h_synthetic", "6h")
 
 
+_HOLED = ("adosc", "adx", "atr", "cmo", "kama", "macd", "rsi", "stochrsi", "trix")
+
+
+def _register_holed(name: str) -> None:
+    """The recursive indicators where the first candles, and every eleventh one, have no prices."""
+
+    def run(spark, sf_dir):
+        c = candles(spark, sf_dir)
+        hole = (F.hour("timestamp") * 31 + F.day("timestamp") * 7) % 11 == 0
+        holed = c.select("symbol", "timeframe", "timestamp", *(F.when(~hole, F.col(x)).alias(x) for x in S.PRICES))
+        column = output_name(REGISTRY[name], {}, "1h")
+        d = add_indicators(holed, [(name, "1h", {})], "1h", ordered=False)
+        return d.select("symbol", "timestamp", *([F.round(f"{column}.{f}", 6).alias(f) for f in REGISTRY[name].fields] or [F.round(column, 6).alias(column)]))
+
+    run.__name__ = f"ind_{name}_nulls"
+    query(sql.indicator(name, output_name(REGISTRY[name], {}, "1h"), 1, REGISTRY[name].defaults, holes="(hour(timestamp) * 31 + day(timestamp) * 7) % 11 = 0"))(run)
+
+
+for _name in _HOLED:
+    _register_holed(_name)
+
+
 @query(sql.BATCH)
 def ind_batch(spark, sf_dir):
     specs = [("mom", "1h", {}), ("roc", "1h", {"timeperiod": 5}), ("willr", "1h", {}), ("bbands", "1h", {}), ("mom", "6h", {"timeperiod": 3}), ("wma", "2h", {"timeperiod": 8})]

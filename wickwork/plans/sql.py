@@ -23,15 +23,20 @@ filled AS (SELECT g.symbol, g.timeframe, g.timestamp, {last}, coalesce(c.volume,
  FROM grid g LEFT JOIN candles c ON g.symbol = c.symbol AND g.timestamp = c.timestamp WINDOW w AS (PARTITION BY g.symbol ORDER BY g.timestamp))"""
 
 
-SPARSITY = f"""WITH {_candles("1h", "a")}, {_candles("5m", "b")},
-u AS (SELECT symbol || '-usd' AS asset, timeframe, timestamp, CASE timeframe WHEN '1h' THEN 3600 ELSE 300 END AS c FROM (SELECT * FROM a UNION ALL SELECT * FROM b) WHERE symbol IN ('click', 'view', 'error')),
-d AS (SELECT *, date_diff('second', lag(timestamp) OVER (PARTITION BY asset, timeframe ORDER BY timestamp), timestamp) AS s FROM u),
+_REPORT = """d AS (SELECT *, date_diff('second', lag(timestamp) OVER (PARTITION BY asset, timeframe ORDER BY timestamp), timestamp) AS s FROM u),
 g AS (SELECT asset, timeframe, min(timestamp) AS range_start, max(timestamp) AS range_end, count(DISTINCT strftime(timestamp, '%Y-%m'))::BIGINT AS files_processed, count(*) AS actual, any_value(c) AS c,
  count(*) FILTER (s > c) AS gap_count, avg(s // c - 1) FILTER (s > c) AS m, min(s // c - 1) FILTER (s > c) AS shortest_gap_missing, max(s // c - 1) FILTER (s > c) AS largest_gap_missing, avg(s - c) FILTER (s > c) AS x FROM d GROUP BY ALL),
 e AS (SELECT *, date_diff('second', range_start, range_end) // c + 1 AS expected FROM g)
 SELECT asset, timeframe, range_start, range_end, files_processed, actual, expected, greatest(expected - actual, 0) AS missing,
  floor(actual / expected * 100) / 100 AS availability, floor(greatest(expected - actual, 0) / expected * 100) / 100 AS sparsity, gap_count, coalesce(floor(m * 100) / 100, 0) AS avg_gap_missing,
  shortest_gap_missing, largest_gap_missing, coalesce(floor(x * 100) / 100, 0) AS avg_extra_gap_seconds FROM e"""
+SPARSITY = f"""WITH {_candles("1h", "a")}, {_candles("5m", "b")},
+u AS (SELECT symbol || '-usd' AS asset, timeframe, timestamp, CASE timeframe WHEN '1h' THEN 3600 ELSE 300 END AS c FROM (SELECT * FROM a UNION ALL SELECT * FROM b) WHERE symbol IN ('click', 'view', 'error')),
+{_REPORT}"""
+SPARSITY_FILES = f"""WITH {_candles("1h", "a")}, {_candles("2h", "b")},
+u AS (SELECT symbol || '-usd' AS asset, timeframe, timestamp, CASE timeframe WHEN '1h' THEN 3600 ELSE 7200 END AS c FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
+ WHERE symbol IN ('click', 'view', 'error') AND month(timestamp) = 1 AND NOT (symbol = 'error' AND hour(timestamp) = 3)),
+{_REPORT}"""
 
 
 def synthetic(timeframe: str, w: int, recursive: bool = False) -> str:
@@ -41,10 +46,10 @@ buckets AS (SELECT symbol, i // {w} AS b, max(high) AS high, min(low) AS low, ar
 synthetic AS (SELECT i.symbol, i.timestamp, i.i, b.high AS high_{w}, b.low AS low_{w}, b.close AS close_{w} FROM i LEFT JOIN buckets b ON b.symbol = i.symbol AND b.b = (i.i + 1) // {w} - 1)"""
 
 
-def _base(w: int) -> str:
-    """x: (symbol, timestamp, i, open, high, low, close, volume), i from 0 at the first row with values."""
+def _base(w: int, holes: str = "false") -> str:
+    """x: (symbol, timestamp, i, open, high, low, close, volume), i from 0 at the first row with values; where holes holds a row has none."""
     if w == 1:
-        return f"{candles('1h', recursive=True)}, x AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i FROM candles), every_row AS (SELECT symbol, timestamp FROM x)"
+        return f"{candles('1h', recursive=True)}, x AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i FROM candles WHERE NOT ({holes})), every_row AS (SELECT symbol, timestamp FROM candles)"
     return f"""{synthetic("1h", w, recursive=True)}, every_row AS (SELECT symbol, timestamp FROM synthetic),
 x AS (SELECT symbol, timestamp, i - {w - 1} AS i, NULL AS open, high_{w} AS high, low_{w} AS low, close_{w} AS close, NULL AS volume FROM synthetic WHERE i >= {w - 1})"""
 
@@ -177,12 +182,12 @@ q AS (SELECT symbol, i, r, min(r) {_over(a)} AS l, max(r) {_over(a)} AS h FROM r
     raise KeyError(name)
 
 
-def indicator(name: str, column: str, w: int, params: dict) -> str:
+def indicator(name: str, column: str, w: int, params: dict, holes: str = "false") -> str:
     steps, source, out = _steps(name, params)
     out = out.replace("$", column)
     fields = [x.rsplit(" AS ", 1)[1] for x in out.split(", ") if " AS " in x]
     rounded = ", ".join(f"round(v.{f}, 6) AS {f}" for f in fields)
-    return f"""{_base(w)}, {steps}, v AS (SELECT symbol, i, {out} FROM {source})
+    return f"""{_base(w, holes)}, {steps}, v AS (SELECT symbol, i, {out} FROM {source})
 SELECT e.symbol, e.timestamp, {rounded} FROM every_row e LEFT JOIN x ON x.symbol = e.symbol AND x.timestamp = e.timestamp LEFT JOIN v ON v.symbol = x.symbol AND v.i = x.i"""
 
 
@@ -192,6 +197,11 @@ _SYN = ", ".join(
 FETCHED = """WITH r(timeframe, s, lo, hi) AS (VALUES ('5m', 300, TIMESTAMP '2024-01-01 00:30:00', TIMESTAMP '2024-01-03 12:10:00'), ('1h', 3600, TIMESTAMP '2024-01-01 01:00:00', TIMESTAMP '2024-01-03 12:00:00')),
 c AS (SELECT timeframe, s, unnest(generate_series(lo, hi, to_seconds(s))) AS timestamp FROM r), n AS (SELECT *, epoch(timestamp)::BIGINT // s AS n FROM c)
 SELECT unnest(['AAA/USD', 'CCC/USD']) AS symbol, timeframe, timestamp, (n % 97)::DOUBLE AS open, (n % 97 + 2)::DOUBLE AS high, (n % 97 - 1)::DOUBLE AS low, (n % 97 + 1)::DOUBLE AS close, (n % 13)::DOUBLE AS volume FROM n"""
+_RULE = "(n % 97)::DOUBLE AS open, (n % 97 + 2)::DOUBLE AS high, (n % 97 - 1)::DOUBLE AS low, (n % 97 + 1)::DOUBLE AS close, (n % 13)::DOUBLE AS volume"
+LATEST = f"""WITH n AS (SELECT timeframe, s, unnest(range(1706745600 // s - 40, 1706745600 // s)) AS n FROM (VALUES ('5m', 300), ('1h', 3600)) t(timeframe, s)), c AS (SELECT timeframe, n, TIMESTAMP '1970-01-01' + to_seconds(n * s) AS timestamp FROM n)
+SELECT 'AAA/USD' AS symbol, timeframe, timestamp, {_RULE} FROM c WHERE timeframe = '5m' OR hour(timestamp) % 2 = 1"""
+UPDATED = f"""WITH n AS (SELECT unnest(range(epoch(TIMESTAMP '2024-01-29')::BIGINT // 3600, 1706745600 // 3600)) AS n), c AS (SELECT n, TIMESTAMP '1970-01-01' + to_seconds(n * 3600) AS timestamp FROM n), p AS (SELECT timestamp, {_RULE} FROM c)
+SELECT 'aaa-usd' AS symbol, '1h' AS timeframe, timestamp, open, high, low, CASE WHEN timestamp <= TIMESTAMP '2024-01-30 12:00:00' THEN 0 ELSE close END AS close, volume FROM p"""
 BATCH = f"""{candles("1h")}, i AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i FROM candles), {_SYN},
 a AS (SELECT symbol, timestamp, i, close - lag(close, 10) {_over()} AS mom, close / lag(close, 5) {_over()} - 1 AS roc, close, min(low) {_over(14)} AS l, max(high) {_over(14)} AS h, avg(close) {_over(20)} AS m, stddev_pop(close) {_over(20)} AS s FROM i),
 m AS (SELECT symbol, i, CASE WHEN i >= 8 THEN c6 - lag(c6, 3) {_over()} END AS v FROM c6),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.functions.timeframe import seconds
+from wickwork.functions.timeframe import at_micros, seconds
 
 
 def from_events(events: DataFrame, timeframe: str, symbol: str = "event_type", price: str = "value", ts: str = "ts", tie: str = "event_id") -> DataFrame:
@@ -21,7 +21,7 @@ def from_events(events: DataFrame, timeframe: str, symbol: str = "event_type", p
     ).select("symbol", F.lit(timeframe).alias("timeframe"), "timestamp", "open", "high", "low", "close", "volume")
 
 
-def from_rows(rows: DataFrame) -> DataFrame:
-    """Raw exchange rows (symbol, timeframe, ts_ms and prices) with the candle schema."""
-    at = F.timestamp_millis("ts_ms").cast("timestamp_ntz")
-    return rows.select("symbol", "timeframe", at.alias("timestamp"), *(F.col(c).cast("double") for c in ("open", "high", "low", "close", "volume")))
+def from_rows(rows: DataFrame, *more: str) -> DataFrame:
+    """Raw exchange rows (symbol, timeframe, ts_ms and prices) with the candle schema, and more of their columns."""
+    at = at_micros(F.col("ts_ms") * 1000)
+    return rows.select("symbol", "timeframe", at.alias("timestamp"), *(F.col(c).cast("double") for c in ("open", "high", "low", "close", "volume")), *more)
