@@ -1,6 +1,8 @@
+import html
 import math
 import random
 import re
+import time
 
 import pytest
 
@@ -78,3 +80,51 @@ def test_formulas_and_open_svg():
     assert seen("<svg>" * 30_000 + "<g>one") == "one"
     for tag in ("svg", "math"):
         assert dom.extract(f"<article><{tag}>{ARTICLE}</article>") == whole
+
+
+#: A megabyte each: quotes, angle brackets, elements and attributes that are never closed, and deep nesting.
+HOSTILE = {
+    "quotes": "<a x='" * 170_000, "other quotes": '<i title="' * 100_000, "an odd quote": '<i title="' * 99_999 + ">x", "quotes, then none": '<a x="' * 100_000 + ">" + '<a x="' * 60_000,
+    "brackets": "<" * 1_000_000, "names": "<a" * 500_000, "a name": "<a" * 500_000 + ">", "a long attribute": "<a " + "a" * 1_000_000 + ">", "attributes": "<a " + "a= " * 300_000 + ">", "spaces": "<a display" + " " * 1_000_000 + "x>",
+    "deep": "<div>" * 200_000, "paragraphs": "<div><p>" * 120_000, "lists": "<ul><li>" * 120_000, "tables": "<table><tr><td>" * 60_000, "rows in lists": "<table>" + "<ul>" * 100_000 + "<tr>" * 100_000, "ends": "<div>" * 100_000 + "</b>" * 100_000,
+    "scripts": "</script " * 110_000, "comments": "<!--" * 250_000, "declarations": "<!a " * 250_000, "svg": "<svg><foreignObject>" * 50_000, "svg and blocks": "<svg><p>" * 120_000, "references": "&amp" * 250_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_seconds(name):
+    """Time in proportion: a page of twice the size may take thrice the time, a quadratic one would take four times it, and a minute."""
+    page, began = HOSTILE[name], time.process_time()
+    text = dom.extract(page + f"<article>{ARTICLE}</article>" if name in ("brackets", "deep") else page)
+    assert time.process_time() - began < 40
+    if name in ("brackets", "deep"):
+        assert text.endswith("Second bold one, which goes on; for a while. Yes.")
+
+
+def test_quotes():
+    seen = lambda page: " ".join("".join(t + " " for _, t in dom.parse(page)[1]).split())
+    assert seen('<p title="a>b">one</p><p title=\'"\'>two</p>') == "one two"
+    assert seen('<p title="5" wide">one</p><p>two "three"</p>') == 'one two "three"'
+    assert seen("<p title='a>one</p><p>two</p>") == "one two"
+    assert seen('<p a=b"c>one</p><p d="e>f">two</p>') == "one two"
+
+
+def test_tables_in_tables():
+    seen = [t for _, t in dom.parse("<table><tr><td>a<table><tr><td>b<tr><td>c</table><td>d<tr><td>e</table>")[1]]
+    nodes = dom.parse("<table><tr><td>a<table><tr><td>b<tr><td>c</table><td>d<tr><td>e</table>")[0]
+    assert seen == ["a", "b", "c", "d", "e"] and [nodes[n.parent].tag for n in nodes if n.tag == "tr"] == ["table"] * 4
+
+
+def by_hand(page):
+    """What a person would cut out of the test pages, each of which has one article of headings and paragraphs."""
+    inner = re.search("<article[^>]*>(.*?)</article>", page, re.S)[1]
+    blocks = re.split("</?(?:p|h[1-6]|ul|ol|li|pre|blockquote)(?: [^>]*)?>", re.sub("<!--.*?-->", "", inner, flags=re.S))
+    texts = (" ".join(html.unescape(re.sub("<[^>]*>", "", re.sub("<br[^>]*>", " ", b))).split()) for b in blocks)
+    return "\n".join(t for t in texts if t)
+
+
+def test_pages_against_hand_rules(spark):
+    got = dom.main_text(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    assert len(got) == len(pages) and sum(r["text"] == by_hand(pages[r["page_id"]]) for r in got) >= 0.99 * len(got)
+    assert all(r["n_chars"] == len(r["text"]) for r in got)

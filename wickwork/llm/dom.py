@@ -6,9 +6,11 @@ together. Sum-product messages pass from the leaves to the root and back, which
 counts if its node's marginal is over one half. Weights are fitted by ``fit`` on labelled pages, by gradient ascent on
 the conditional likelihood; ``html_model.json`` holds those fitted on the pages of ``dom_pages.labelled`` (seed 1).
 
-The whole html is read. Null or empty html gives an empty text. Broken markup is read as it comes: an end tag without
+The whole html is read, in time that grows with its length, whatever it holds. Null or empty html gives an empty text. Broken markup is read as it comes: an end tag without
 a start is skipped, an open paragraph or list item ends where the next block begins, what is still open ends with the page, but an svg
-without an end tag where the next block begins. Formulas in math are text.
+without an end tag where the next block begins. A quote counts where it begins an attribute's value; one that is never closed is a character like any other, and if a
+tag's quotes leave it without an end, quotes count for nothing from there on. Formulas in math are text. Rows repeat in the result as in the input; null ids and urls are kept, extra columns
+ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,11 +50,16 @@ MARKS = {
     "content": "article content post entry story main body text page read prose",
 }
 _MARK = {w: k for k, words in MARKS.items() for w in words.split()}
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
-_ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_STEP = re.compile(r"[^>=]*+(?:=\s*+([\"']?))?")
+_BARE = re.compile(r"[^\s>]*+")
+_ATTR = re.compile(r"(?<![-\w:.])([a-zA-Z_:][-\w:.]*+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-_ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+#: What ends an open element of these; inside a list or table, only elements of that one end.
+_ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
 _LISTS = frozenset(("ul", "ol", "menu", "table", "dl", "select"))
+_ROWS = frozenset(("tbody", "tfoot", "thead"))
+_CELL_ENDS = {"tr": _ROWS | {"tr"}, "td": _ROWS | {"td", "th", "tr"}, "th": _ROWS | {"td", "th", "tr"}} | dict.fromkeys(_ROWS, _ROWS)
 
 
 class Node:
@@ -64,36 +71,132 @@ class Node:
         self.words = self.linked = self.links = self.stops = 0
 
 
-def _after_svg(page: str, start: int) -> dict[int, int]:
+class _Markup:
+    """The tokens of a page. Every character is looked at a bounded number of times: what a failed search found out is kept."""
+
+    def __init__(self, page: str):
+        self.page, self.quotes = page, True
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+
+    def token(self, at: int) -> tuple[int, str | None, bool, str | None, str]:
+        """(end, text, closing, name, attributes) of the token at at: text, or a tag's name, or neither for comments and declarations."""
+        page = self.page
+        if page[at] != "<":
+            end = page.find("<", at)
+            end = len(page) if end < 0 else end
+            return end, page[at:end], False, None, ""
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            return (len(page) if end < 0 else end + 3), None, False, None, ""
+        if page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            return (len(page) if end < 0 else end + 1), None, False, None, ""
+        closing = page.startswith("/", at + 1)
+        m = _NAME.match(page, at + 1 + closing) if at < self.last[">"] else None
+        if m is None:
+            return at + 1, "<", False, None, ""
+        end = self._end(m.end())
+        return end, None, closing, m[0].lower(), page[m.end() : end - 1]
+
+    def _end(self, at: int) -> int:
+        """The end of the tag whose attributes begin at at; a > comes somewhere."""
+        page, x = self.page, at
+        while self.quotes:
+            m = _STEP.match(page, x)
+            x = m.end()
+            if m[1]:
+                x = page.index(m[1], x) + 1 if x <= self.last[m[1]] else x
+            elif m[1] is not None:
+                x = _BARE.match(page, x).end()
+            elif x < len(page):
+                return x + 1
+            if x >= len(page):
+                self.quotes = False
+        return page.index(">", at) + 1
+
+
+def _after_svg(markup: _Markup, start: int) -> dict[int, int]:
     """Where the page goes on after the svg whose start tag ends at start, and after each one inside: without an end tag at the next block, or else right there."""
-    found, at = {}, start
+    found, at, end = {}, start, len(markup.page)
     stack = [[start, 0]]  # open ones, with how many of _HOSTS are open in each
-    while stack and (m := _TOKEN.search(page, at)):
-        at = m.end()
-        name = (m[2] or "").lower()
-        if name in _BREAKS and not m[1]:
+    while stack and at < end:
+        begin = at
+        at, _, closing, name, attrs = markup.token(at)
+        if name in _BREAKS and not closing:
             while stack and not stack[-1][1]:
-                found[stack.pop()[0]] = m.start()
-        elif (m[3] or "").rstrip().endswith("/"):
+                found[stack.pop()[0]] = begin
+        elif attrs.rstrip().endswith("/"):
             continue
-        elif name == "svg" and m[1]:
+        elif name == "svg" and closing:
             found[stack.pop()[0]] = at
         elif name == "svg":
             stack.append([at, 0])
         elif name in _HOSTS:
-            stack[-1][1] = max(0, stack[-1][1] + (-1 if m[1] else 1))
+            stack[-1][1] = max(0, stack[-1][1] + (-1 if closing else 1))
     return found | {x: x for x, _ in stack}
 
 
+class _Open:
+    """The open elements that are nodes, innermost last, as (name, node)."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("", 0)]
+        self.names: dict[str, int] = {}
+        self.items: list[int] = []  # places of what _ENDS names, and of lists
+        self.cells: list[int] = []  # places of tables and their parts
+
+    def push(self, name: str, node: int) -> None:
+        if name in _ENDS or name in _LISTS:
+            self.items.append(len(self.stack))
+        if name in _CELL_ENDS or name == "table":
+            self.cells.append(len(self.stack))
+        self.names[name] = self.names.get(name, 0) + 1
+        self.stack.append((name, node))
+
+    def cut(self, k: int) -> None:
+        for name, _ in self.stack[k:]:
+            self.names[name] -= 1
+        del self.stack[k:]
+        for places in (self.items, self.cells):
+            while places and places[-1] >= k:
+                places.pop()
+
+    def close(self, name: str) -> bool:
+        """Ends the innermost element of that name and all inside it."""
+        if not self.names.get(name):
+            return False
+        k = len(self.stack) - 1
+        while self.stack[k][0] != name:
+            k -= 1
+        self.cut(k)
+        return True
+
+    def begin(self, name: str) -> None:
+        """Ends what an element of that name ends by beginning."""
+        if name in _CELL_ENDS:
+            for k in reversed(self.cells):
+                if self.stack[k][0] == "table":
+                    break
+                if name in _CELL_ENDS[self.stack[k][0]]:
+                    self.cut(k)
+        for k in reversed(self.items):
+            if self.stack[k][0] in _LISTS:
+                break
+            if name in _ENDS[self.stack[k][0]]:
+                self.cut(k)
+                break
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """(nodes, parents first; text blocks in page order as (node, raw text))."""
     nodes = [Node("body", (), -1, None, False)]
-    stack: list[tuple[str, int]] = [("", 0)]  # open elements that are nodes
+    elements, markup = _Open(), _Markup(page)
     blocks: list[tuple[int, str]] = []
     text: list[str] = []
     owner = 0
     in_link = False
     after: dict[int, int] = {}
+    unended: set[str] = set()  # raw elements that no end tag follows any more
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -102,14 +205,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             text.clear()
 
     while at < end:
-        m = _TOKEN.match(page, at)
-        if m is None:
-            raw, name, at = page[at], None, at + 1
-        else:
-            at = m.end()
-            name, raw = m[2], m[4]
+        at, raw, closing, name, given = markup.token(at)
         if raw is not None:
-            here = stack[-1][1]
+            here = elements.stack[-1][1]
             if here != owner:
                 flush()
                 owner = here
@@ -122,54 +220,49 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if name is None:
             continue
-        name = name.lower()
-        if m[1]:
+        if closing:
             if name == "a":
                 in_link = False
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    if name in BLOCKS:
-                        flush()
-                    del stack[k:]
-                    break
+            if elements.names.get(name):
+                if name in BLOCKS:
+                    flush()
+                elements.close(name)
             continue
+        alone = given.rstrip().endswith("/")
         if name in RAW:
+            if alone:
+                continue
             if name == "svg":
-                if not m[3].rstrip().endswith("/"):
-                    if at not in after:
-                        after |= _after_svg(page, at)
-                    at = after[at]
+                if at not in after:
+                    after |= _after_svg(markup, at)
+                at = after[at]
                 continue
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at) if not m[3].rstrip().endswith("/") else None
-            at = close.end() if close else (at if m[3].rstrip().endswith("/") else end)
+            close = None if name in unended else re.compile(rf"</{name}\s*+>", re.I).search(page, at)
+            if close is None:
+                unended.add(name)
+            at = close.end() if close else end
             continue
         if name in ("br", "hr"):
             text.append(" ")
-        if name in VOID or m[3].rstrip().endswith("/"):
+        if name in VOID or alone:
             continue
         if name == "a":
             in_link = True
-            nodes[stack[-1][1]].links += 1
-        attrs = {a.lower(): v or w or x for a, v, w, x in _ATTR.findall(m[3])} if m[3] else {}
+            nodes[elements.stack[-1][1]].links += 1
+        attrs = {a.lower(): v or w or x for a, v, w, x in _ATTR.findall(given)} if given else {}
         found = [_MARK[p] for k in ("class", "id", "role") if k in attrs for p in dict.fromkeys(x.lower() for x in _PART.findall(attrs[k])) if p in _MARK]
-        hidden = re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", m[3]) is not None if m[3] else False
+        hidden = re.search(r"(?:^|\s)hidden(?:\s|=|$)|display\s*+:\s*+none", given) is not None if given else False
         if name not in BLOCKS and not found and not hidden:
             continue
         if name in BLOCKS:
             flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in _LISTS and name != "tr" and name not in ("tbody", "tfoot"):
-                    break
-                if name in _ENDS.get(stack[k][0], ()):
-                    del stack[k:]
-                    if name not in ("tr", "tbody", "tfoot"):
-                        break
+            elements.begin(name)
         if name == "body" and len(nodes) == 1:
             nodes[0].marks = tuple(dict.fromkeys(found))
             continue
-        nodes.append(Node(name, tuple(dict.fromkeys(found)), stack[-1][1], int(attrs["data-y"]) if "data-y" in attrs else None, hidden))
-        nodes[stack[-1][1]].children.append(len(nodes) - 1)
-        stack.append((name, len(nodes) - 1))
+        nodes.append(Node(name, tuple(dict.fromkeys(found)), elements.stack[-1][1], int(attrs["data-y"]) if attrs.get("data-y") in ("0", "1") else None, hidden))
+        nodes[elements.stack[-1][1]].children.append(len(nodes) - 1)
+        elements.push(name, len(nodes) - 1)
     flush()
     return nodes, blocks
 
