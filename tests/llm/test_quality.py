@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -56,9 +57,66 @@ def test_sql(spark):
     assert documents is not None and ours == sorted(map(str, map(list, want)))
 
 
+def test_a_menu_over_articles_of_which_one_is_copied_often(spark):
+    """500 articles with a menu; one more with it stands there 501 times. Then 300 pages with two legal lines that are longer than any line of theirs."""
+    menu = "Home | News | Contact"
+    legal = ["All rights are reserved by the owners of this site, whose terms of use you have read, understood and accepted by looking at it", "Each price on our pages includes taxes, while the cost of sending goods to your country is added when an order is placed"]
+    rows = [(i, f"{menu}\nAn article about {'xyz'[i % 3] * (i + 1)}, number {chr(97 + i % 26)}, with words that no other one of them has.") for i in range(500)]
+    rows += [(1000 + i, f"{menu}\nThe article that was copied so often that it outnumbers all of the others.") for i in range(501)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id long, text string, source string")
+    more = [(5000 + i, "\n".join((legal[0], f"What stands here is about {chr(97 + i % 26) * (i // 26 + 2)} and nothing else in all the world.", f"There is more of {chr(97 + i % 26) * (i // 26 + 3)} to be told on some other day, when all of us have the time for it.", legal[1], menu)), "b") for i in range(300)]
+    df = df.union(spark.createDataFrame(more, df.schema))
+    got = {r["doc_id"]: r for r in Q.judge(df).collect()}
+    assert all(r["n_removed_chars"] == len(menu) and r["kept"] for i, r in got.items() if i < 5000)
+    assert all(r["n_removed_chars"] == len(menu) + sum(map(len, legal)) and r["kept"] for i, r in got.items() if i >= 5000)
+    out = {r["doc_id"]: r["text"] for r in Q.filter_documents(df).collect()}
+    assert out[1003] == rows[503][1].split("\n")[1] and out[5007] == "\n".join(more[7][1].split("\n")[1:3])
+
+
+def test_near_copies_keep_their_lines(spark):
+    """1,000 near copies of a text of eight lines, a word changed in one of them or in two: whatever line it is, none goes."""
+    name = "abcdefgh"
+    lines = [" ".join([f"{name[k]}{name[j]}ne" for j in range(k % 3 + 4)] + ["words"] + [f"{name[j]}{name[k]}da" for j in range(k % 2 + 5)]) for k in range(8)]
+    rows = []
+    for i in range(1000):
+        own = list(lines)
+        for k in {i % 8, i // 8 % 8}:
+            own[k] = own[k].replace("words", f"w{chr(97 + i % 26)}{chr(97 + i // 26)}")
+        rows.append((i, "\n".join(own), "s"))
+    rows += [(2000 + i, f"Text {chr(97 + i % 26) * (i + 2)} has nothing in common with any other text on this host, or so they say.", "s") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {(r["n_removed_chars"], r["kept"]) for r in Q.judge(df).collect()} == {(0, True)}
+
+
+def test_depleted_documents_go(spark):
+    rows = [(i, f"The same first line on each page\nand then an article about {chr(97 + i % 26) * (i + 2)} that goes on for many more words than the first line has", None) for i in range(30)]
+    rows += [(100, "The same first line on each page\nTHE SAME FIRST LINE ON EACH PAGE \nand few more", None), (101, "The same first line on each page\nand few more", "elsewhere")]
+    df = spark.createDataFrame([*rows, rows[0], (None, *rows[1][1:])], "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["n_removed_chars"], r["kept"]) for r in Q.judge(df).collect()}
+    assert got.pop(100) == (64, False) and got.pop(101) == (0, True) and set(got.values()) == {(32, True)} and len(got) == 31
+    kept = Q.filter_documents(df).collect()
+    assert len(kept) == 33 and all(r["text"].startswith("and") for r in kept if r["source"] is None) and sum(r["doc_id"] is None for r in kept) == 1
+
+
+def test_long_texts(spark):
+    r = random.Random(9)
+    long = "\n".join(" ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(r.randint(0, 40))) for _ in range(2000))
+    one = " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(60_000))
+    df = spark.createDataFrame([(0, long, "s"), (1, one, "s"), (2, "x" * 300_000, "s"), (3, "a b " * 50_000, "s")], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in Q.judge(df).collect()}
+    for i, t in ((0, long), (1, one), (2, "x" * 300_000)):
+        w = t.split()
+        assert (got[i]["n_words"], got[i]["word_chars"], got[i]["kept"]) == (len(w), sum(map(len, w)), i < 2)
+    assert got[3]["n_repeat_words"] == got[3]["n_words"] == 100_000 and not got[3]["kept"]
+    assert {r["doc_id"]: r["text"] for r in Q.filter_documents(df).collect()} == {0: long, 1: one}
+
+
 def test_edges(empty, odd, documents):
-    assert Q.judge(empty).count() == 0 and Q.filter_documents(empty).count() == 0
-    assert Q.judge(odd).count() == 7
+    for df in (empty, empty.drop("n_chars")):
+        assert Q.judge(df).count() == 0 and Q.filter_documents(df).count() == 0 and Q.filter_documents(df).columns == df.columns
+    got = sorted(Q.judge(odd).collect(), key=str)
+    words = len("the quick brown fox jumps over the lazy dog and runs far away from all of the other animals that live in this forest today".split()) * 3
+    assert sorted((str(r["doc_id"]), r["n_words"], r["kept"]) for r in got) == [("0", 0, False), ("1", 2, False), ("1", words, False), ("1", words, False), ("2", 0, False), ("2", 0, False), ("None", words, False)]
     assert Q.filter_documents(documents).schema == documents.schema
 
 

@@ -49,6 +49,11 @@ def op9_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def quality_rules_with_menus(spark, sf_dir):
+    """The quality rules on documents that were given menu lines, so that lines go and documents are depleted on any size of table."""
+    return quality.judge(quality.with_menus(table(spark, sf_dir, "documents")))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -58,6 +63,7 @@ QUERIES = {
     for f in (
         op1_suffix_array_dedup, op2_licence_scan, op3_source_mixing, op4_chat_formatting, op5_simhash_near_duplicates,
         op6_chroma_fingerprints, op7_html_extraction, op8_warc_round_trip, op9_quality_rules, op10_best_fit_packing,
+        quality_rules_with_menus,
     )
 }
 ORACLE = {
@@ -65,4 +71,5 @@ ORACLE = {
     "op4_chat_formatting": chat.SQL,
     "op8_warc_round_trip": warc.SQL,
     "op9_quality_rules": quality.SQL,
+    "quality_rules_with_menus": quality.SQL_MENUS,
 }
