@@ -45,6 +45,20 @@ def test_long_conversations_come_in_parts(spark):
     assert "".join(r["text"] for r in got) == brute(data)[1]
 
 
+def test_a_third_of_all_turns_has_no_conversation_and_no_order(spark):
+    """Rows without conv_id whose turn numbers are null, equal, or few, and one row that is repeated: no group holds them all."""
+    data = [(None, None if i % 3 == 0 else i % 2, "user", f"text {i}") for i in range(600)] + [(None, 1, "user", "again")] * 400
+    data += [(c, t, "user", f"{c} {t}") for c in range(200) for t in range(10)]
+    df = frame(spark, data)
+    got = sorted((r for r in chat.format_chats(df).collect() if r["conv_id"] is None), key=lambda r: r["part"])
+    assert "".join(r["text"] for r in got) == brute(data)[None] and {r["n_turns"] for r in got} == {1000}
+    turns = chat.positions(df)
+    assert turns.groupBy("conv_id", "c").count().agg({"count": "max"}).first()[0] <= chat.CHUNK
+    assert sorted(r["j"] for r in turns.where("conv_id is null").collect()) == list(range(1, 1001))
+    alone = df.where("conv_id is null").groupBy("turn", "role", "text").count().repartitionByRange(4, "turn", "role", "text")
+    assert alone.selectExpr("spark_partition_id() AS r").distinct().count() == 4
+
+
 def test_empty(spark):
     assert chat.format_chats(frame(spark, rows()).limit(0)).count() == 0
 

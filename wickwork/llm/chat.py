@@ -4,9 +4,10 @@ A conversation that is logged after each turn appears as a series of growing sna
 all turns before it; a conversation whose last prefix hash is an inner prefix of another one is a snapshot of that and goes, by an
 anti-join. Of equal conversations the one with the smallest conv_id stays. What remains is rendered.
 
-Prefix hashes are the xor of hashes of (position, role, text), two of 64 bits each, so they add up over chunks: positions and hashes are first
-made within chunks of ``CHUNK`` turn numbers, then carried over the chunks of a conversation. So a conversation with a third of all turns
-is many groups, never one. For the same reason a rendered conversation comes in parts of ``PART`` turns, all but the last being full;
+Prefix hashes are the xor of hashes of (position, role, text), two of 64 bits each, so they add up over chunks: they are first
+made within chunks of ``CHUNK`` positions, then carried over the chunks of a conversation. Positions are found in the same way: turns that are equal in all are one row with a count, rows are
+dealt by ranges of (conv_id, turn, role, text), and counts are carried over the ranges. So a conversation with a third of all turns
+is many groups, never one, even if its turn numbers are all the same, or null. For the same reason a rendered conversation comes in parts of ``PART`` turns, all but the last being full;
 usual conversations have one part. Turns with positions, and prefix hashes, are each computed once and kept in the shared folder.
 
 Turns are ordered by turn (null first), then role, then text; repeated turns stay. Null roles and texts count as empty. Rows without
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import keep
+from wickwork.llm.common import keep, partitions
 
 CHUNK, PART = 256, 1024
 
@@ -31,17 +32,20 @@ def _same(a: str, b: str) -> Column:
 def positions(conversations: DataFrame) -> DataFrame:
     """(conv_id, c, j, role, text, x, y): turns with their chunk, their position from 1, and two hashes of both."""
     t = conversations.select("conv_id", F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    t = t.withColumn("c", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 62))))
-    inner = Window.partitionBy("conv_id", "c").orderBy("turn", "role", "text")
-    counts = t.groupBy("conv_id", "c").agg(F.count("*").alias("n"))
-    counts = counts.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.sum("n").over(_before()), F.lit(0)).alias("skip"))
-    t = t.withColumn("k", F.row_number().over(inner)).join(counts, _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
-    t = t.withColumn("j", F.col("k") + F.col("skip"))
-    return t.select("conv_id", "c", "j", "role", "text", F.xxhash64("j", "role", "text").alias("x"), F.xxhash64(F.lit("second"), "text", "j", "role").alias("y"))
+    order = ("turn", "role", "text")
+    t = t.groupBy("conv_id", *order).agg(F.count("*").alias("n"))
+    t = keep(t.repartitionByRange(partitions(t.sparkSession), "conv_id", *order).withColumn("r", F.spark_partition_id()))
+    counts = t.groupBy("conv_id", "r").agg(F.sum("n").alias("n"))
+    counts = counts.select(F.col("conv_id").alias("_id"), F.col("r").alias("_r"), F.coalesce(F.sum("n").over(_before("r")), F.lit(0)).alias("skip"))
+    inner = Window.partitionBy("conv_id", "r").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("k", F.sum("n").over(inner)).join(counts.hint("merge"), _same("conv_id", "_id") & (F.col("r") == F.col("_r")))
+    last = F.col("k") + F.col("skip")
+    t = t.select("conv_id", "role", "text", F.explode(F.sequence(last - F.col("n") + 1, last)).alias("j"))
+    return t.select("conv_id", F.expr(f"(j - 1) div {CHUNK}").alias("c"), "j", "role", "text", F.xxhash64("j", "role", "text").alias("x"), F.xxhash64(F.lit("second"), "text", "j", "role").alias("y"))
 
 
-def _before() -> WindowSpec:
-    return Window.partitionBy("conv_id").orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+def _before(chunk: str = "c") -> WindowSpec:
+    return Window.partitionBy("conv_id").orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def prefixes(turns: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     sums = sums.select(F.col("conv_id").alias("_id"), F.col("c").alias("_c"), F.coalesce(F.bit_xor("x").over(_before()), zero).alias("px"), F.coalesce(F.bit_xor("y").over(_before()), zero).alias("py"))
     own = Window.partitionBy("conv_id", "c").orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
     t = turns.select("conv_id", "c", "j", F.bit_xor("x").over(own).alias("x"), F.bit_xor("y").over(own).alias("y"))
-    t = t.join(sums, _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
+    t = t.join(sums.hint("merge"), _same("conv_id", "_id") & (F.col("c") == F.col("_c")))
     return t.select("conv_id", "j", F.col("x").bitwiseXOR(F.col("px")).alias("p"), F.col("y").bitwiseXOR(F.col("py")).alias("q"))
 
 
