@@ -20,7 +20,22 @@ def test_targets(sizes):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
 def test_permutation(n):
-    assert sorted(M.permuted(np.arange(n), n, 5).tolist()) == list(range(n))
+    there = M.permuted(np.arange(n), n, 5)
+    assert sorted(there.tolist()) == list(range(n)) and M.permuted(there, n, 5, inverse=True).tolist() == list(range(n))
+
+
+def test_quotas():
+    """Slots one by one, as many as it takes."""
+    for size in (1, 10, 64, 65, 1000, 1027):
+        for goal in sorted({1, size // 3, size - 1, size, size + 1, 2 * size - 5, 3 * size}):
+            if 0 < goal <= 3 * size:
+                q, last, words = M.quotas(size, goal, 64, 7, 3)
+                n, held = -(-size // 64), []
+                for j in range(q):
+                    k = int(M.permuted(np.array([j % n]), n, M._key(7, 3, j // n))[0])
+                    held.append(min(64, size - 64 * k))
+                assert k == last and 0 < words <= held[-1] and sum(held[:-1]) + words == goal
+    assert M.quotas(0, 0, 64, 7, 3)[0] == 0
 
 
 def by_hand(documents, corpus, **options):
@@ -35,7 +50,7 @@ def by_hand(documents, corpus, **options):
         assert [r["start"] for r in own] == [words.index(r["doc_id"]) for r in own]
         for s in slots:
             if s["sid"] == sid:
-                for d in words[s["block"] * mix.block : (s["block"] + 1) * mix.block]:
+                for d in words[s["block"] * mix.block : (s["block"] + 1) * mix.block][: s["words"]]:
                     taken[d] = taken.get(d, 0) + 1
     return taken, mix, slots
 
@@ -48,7 +63,7 @@ def test_against_slots(documents, corpus):
     per = {}
     for r in got:
         per.setdefault((r["source_size"], r["target"]), []).append(r["taken"])
-    assert all(abs(sum(v) - t) <= 16 for (_, t), v in per.items())
+    assert all(sum(v) == round(t) for (_, t), v in per.items())
     seen = [(s["sid"], s["pass"], s["block"]) for s in slots]
     assert len(seen) == len(set(seen))  # a pass takes a block once
     assert sorted(map(tuple, M.Mix(documents, block=16, shard_slots=32).result().collect())) == sorted(map(tuple, got))
@@ -69,8 +84,30 @@ def test_cut_out():
     assert M.cut_out(" a  b\nc d e", [(0, 1), (1, 3), (4, 5)]) == "a  b\nc\ne"
 
 
+def test_small_sources(spark):
+    """Sources of a few words, far below a block, take their targets, too."""
+    rows = [(i, "w " * (i % 4 + 1), f"s{i % 7}") for i in range(28)] + [(100, "much " * 3000, "t"), (101, None, "u"), (102, " ", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got, of = M.Mix(df).result().collect(), {r[0]: r[2] for r in rows}
+    per = {}
+    for r in got:
+        per.setdefault((of[r["doc_id"]], r["target"]), []).append(r["taken"])
+    assert len(per) == 10 and all(sum(v) == round(t) for (_, t), v in per.items()) and sum(len(v) for v in per.values()) == 31
+    out = M.Mix(df).documents(df).collect()
+    assert {(r["doc_id"]): sum(len(x["text"].split()) for x in out if x["doc_id"] == r["doc_id"]) for r in got} == {r["doc_id"]: r["taken"] for r in got}
+
+
 def test_edges(odd, empty):
     assert M.Mix(empty).result().count() == 0 and M.Mix(empty).documents(empty).count() == 0
     got = M.Mix(odd).result().collect()
-    assert len(got) == 7 and sum(r["taken"] for r in got) > 0 and all(r["taken"] == 0 for r in got if r["size"] == 0)
-    assert M.Mix(odd).documents(odd).count() >= 1
+    sizes = sorted(r["size"] for r in got)
+    assert len(got) == 7 and sizes[:4] == [0, 0, 0, 2] and sum(r["taken"] for r in got) == round(got[0]["target"]) == sum(sizes)
+    assert all(r["taken"] <= 3 * r["size"] for r in got)
+    out = M.Mix(odd).documents(odd).collect()
+    assert sum(len(r["text"].split()) for r in out) == sum(sizes)
+
+
+@pytest.mark.parametrize("lang", ["es"])
+def test_extra_columns_stay(documents, lang):
+    out = M.Mix(documents).documents(documents.withColumn("lang", __import__("pyspark").sql.functions.lit(lang)))
+    assert {r["lang"] for r in out.select("lang").distinct().collect()} == {lang}

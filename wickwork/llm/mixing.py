@@ -2,11 +2,11 @@
 
 The words of a source's documents form one stream, cut into blocks of ``BLOCK`` words. A source's target is its
 share by weight of all words, held at ``REPEATS`` times its own size, the excess going to the others by weight.
-Its quota is the target in blocks. The mix is a row of slots in output shards; a multinomial draw by shard, seeded by
+Its quota is the least number of slots that hold the target, rounded to words. The mix is a row of slots in output shards; a multinomial draw by shard, seeded by
 the shard's number, says how many slots each source gets there. Slot number j of a source holds block
 perm(j mod n) of its n blocks, perm being a Feistel permutation keyed by seed, source and pass (j div n): so each
 pass takes every block once, and no document is taken more than REPEATS times. Draws over the quota are left out and
-what is short of it goes to a last shard, so a source's words miss its target by less than a block.
+what is short of it goes to a last shard. Of the block in a source's last slot only the first words are taken, so that all slots together hold the target.
 Blocks and slots are joined by (source, block index).
 
 The order within a stream is by (salt, doc_id, size), the salt being a hash over 4096 values: a source with a third
@@ -50,22 +50,51 @@ def targets(sizes: list[int], weights: list[float], repeats: int = REPEATS) -> l
     return out
 
 
-def permuted(x: np.ndarray, n: int, key: int) -> np.ndarray:
-    """A pseudorandom permutation of range(n), at x: four Feistel rounds over the next even power of two, walked until inside."""
+def _mixed(x: np.ndarray, mask: np.uint64) -> np.ndarray:
+    y = x * np.uint64(0x9E3779B97F4A7C15)
+    return ((y ^ (y >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) & mask
+
+
+def permuted(x: np.ndarray, n: int, key: int, inverse: bool = False) -> np.ndarray:
+    """A pseudorandom permutation of range(n), at x, or its inverse: four Feistel rounds over the next even power of two, walked until inside."""
     half = np.uint64(max(1, (max(1, n - 1).bit_length() + 1) // 2))
     mask = np.uint64((1 << int(half)) - 1)
     keys = np.random.default_rng(key).integers(0, 1 << 63, 4, dtype=np.uint64)
     out, todo = x.astype(np.uint64), np.arange(len(x))
     while len(todo):
         left, right = out[todo] >> half, out[todo] & mask
-        for k in keys:
-            mixed = (right + k) * np.uint64(0x9E3779B97F4A7C15)
-            left, right = right, left ^ ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) & mask
+        for k in keys[::-1] if inverse else keys:
+            left, right = (right ^ _mixed(left + k, mask), left) if inverse else (right, left ^ _mixed(right + k, mask))
         out[todo] = left << half | right
         todo = todo[out[todo] >= n]
     return out.astype(np.int64)
 
 
+def _key(seed: int, sid: int, turn: int) -> int:
+    return hash((seed, sid, turn)) & (1 << 62) - 1
+
+
+def quotas(size: int, goal: int, block: int, seed: int, sid: int) -> tuple[int, int, int]:
+    """(slots, block of the last one, its words that are taken) of a source of that size, so that slots hold goal words."""
+    if not size or not goal:
+        return 0, -1, 0
+    n = -(-size // block)
+    short = n * block - size  # what the last block lacks
+
+    def held(q: int) -> int:
+        e, r = divmod(q, n)
+        place = int(permuted(np.array([n - 1]), n, _key(seed, sid, e), inverse=True)[0]) if r else n
+        return e * size + r * block - (short if place < r else 0)
+
+    q = max(1, -(-goal * n // size))
+    while held(q) < goal:
+        q += 1
+    while q > 1 and held(q - 1) >= goal:
+        q -= 1
+    last = int(permuted(np.array([(q - 1) % n]), n, _key(seed, sid, (q - 1) // n))[0])
+    return q, last, goal - held(q - 1)
+
+
 class Mix:
     """documents mixed to target weights; the frames are lazy but for the sizes."""
 
@@ -82,10 +111,11 @@ class Mix:
         w = [weights[i % len(weights)] for i in range(len(rows))]
         goal = targets([r[1] for r in rows], w, repeats)
         blocks = [-(-r[1] // block) for r in rows]
-        quota = [min(repeats * n, round(g * n / r[1])) if r[1] else 0 for r, g, n in zip(rows, goal, blocks, strict=True)]
-        self.blocks, self.quota, self.repeats = blocks, quota, repeats
-        table = [(i, r[0], r[1], g, q // n if n else 0) for i, (r, g, n, q) in enumerate(zip(rows, goal, blocks, quota, strict=True))]
-        self.sources = spark.createDataFrame(table, "sid int, name string, source_size long, target double, passes int")
+        lasts = [quotas(r[1], round(g), block, seed, i) for i, (r, g) in enumerate(zip(rows, goal, strict=True))]
+        quota = [q for q, _, _ in lasts]
+        self.blocks, self.quota, self.lasts = blocks, quota, lasts
+        table = [(i, r[0], r[1], g, (q - 1) // n if q else 0, last, most) for i, (r, g, n, (q, last, most)) in enumerate(zip(rows, goal, blocks, lasts, strict=True))]
+        self.sources = spark.createDataFrame(table, "sid int, name string, source_size long, target double, passes int, last_block long, last_words long")
         total = sum(quota)
         self.slots_each = max(shard_slots, -(-total // SHARDS))
         self.shards = -(-total // self.slots_each)
@@ -119,8 +149,8 @@ class Mix:
         return inside.union(short)
 
     def slots(self) -> DataFrame:
-        """(shard, sid, pass, block): what each slot of the mix holds."""
-        blocks, seed = self.blocks, self.seed
+        """(shard, sid, pass, block, words): what each slot of the mix holds, words being how many of the block's are taken at most."""
+        blocks, lasts, size, seed = self.blocks, self.lasts, self.block, self.seed
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -130,31 +160,35 @@ class Mix:
                         j = np.arange(at, min(at + (1 << 20), r["first"] + r["n"]))
                         e, found = j // n, np.empty(len(j), np.int64)
                         for x in np.unique(e):
-                            found[e == x] = permuted(j[e == x] % n, n, hash((seed, sid, int(x))) & (1 << 62) - 1)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), v, t)) for v, t in ((r["shard"], np.int64), (sid, np.int32))] + [pa.array(e.astype(np.int32)), pa.array(found)], ["shard", "sid", "pass", "block"])
+                            found[e == x] = permuted(j[e == x] % n, n, _key(seed, sid, int(x)))
+                        words = np.where(j == lasts[sid][0] - 1, lasts[sid][2], size)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), v, t)) for v, t in ((r["shard"], np.int64), (sid, np.int32))] + [pa.array(e.astype(np.int32)), pa.array(found), pa.array(words)], ["shard", "sid", "pass", "block", "words"])
 
         d = self.draws()
-        return d.repartition(partitions(d.sparkSession), "shard", "sid").mapInArrow(run, "shard long, sid int, pass int, block long")
+        return d.repartition(partitions(d.sparkSession), "shard", "sid").mapInArrow(run, "shard long, sid int, pass int, block long, words long")
 
     def taken_blocks(self, streams: DataFrame) -> DataFrame:
-        """(row, lo, n, times, passes): the parts of documents, by word, that taken blocks hold, and how often."""
+        """(row, lo, n, last, times, passes): the parts of documents, by word, that taken blocks hold, and how often; last of the n words the last time, if that is the source's last slot."""
         b = self.block
-        parts = streams.where("size > 0").select("row", "sid", "start", "size", "passes", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
-        parts = parts.select("row", "sid", "block", "passes", F.greatest(F.lit(0), F.col("block") * b - F.col("start")).alias("lo"), F.least(F.col("size"), (F.col("block") + 1) * b - F.col("start")).alias("hi"))
+        parts = streams.where("size > 0").select("row", "sid", "start", "size", "passes", "last_block", "last_words", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")).alias("block"))
+        lo, hi = F.greatest(F.lit(0), F.col("block") * b - F.col("start")), F.least(F.col("size"), (F.col("block") + 1) * b - F.col("start"))
+        parts = parts.select("row", "sid", "block", "passes", "start", "last_block", "last_words", lo.alias("lo"), (hi - lo).alias("n"))
+        left = F.col("last_words") - (F.col("start") + F.col("lo") - F.col("block") * b)
+        last = F.when(F.col("block") == F.col("last_block"), F.greatest(F.lit(0), F.least(F.col("n"), left))).otherwise(F.col("n"))
         # the planner sees only the few draws that slots come from, and would broadcast what grows with the corpus
         times = self.slots().groupBy("sid", "block").agg(F.count("*").alias("times")).hint("merge")
-        return parts.join(times, ["sid", "block"]).select("row", "lo", (F.col("hi") - F.col("lo")).alias("n"), "times", "passes")
+        return parts.withColumn("last", last).join(times, ["sid", "block"]).select("row", "lo", "n", "last", "times", "passes")
 
     def result(self) -> DataFrame:
         """(doc_id, size, source_size, target, taken) per document."""
         s = self.streams()
-        got = self.taken_blocks(s).groupBy(F.col("row").alias("_row")).agg(F.sum(F.col("n") * F.col("times")).alias("taken"))
+        got = self.taken_blocks(s).groupBy(F.col("row").alias("_row")).agg(F.sum(F.col("n") * (F.col("times") - 1) + F.col("last")).alias("taken"))
         return s.join(got, F.col("row") == F.col("_row"), "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def documents(self, documents: DataFrame) -> DataFrame:
         """The mix as documents with all their columns: a row for each whole pass over a document, and one with the words that the last, unfinished pass takes of it."""
         s = self.streams()
-        extra = self.taken_blocks(s).where("times > passes").groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("lo", (F.col("lo") + F.col("n")).alias("hi")))).alias("spans"))
+        extra = self.taken_blocks(s).where("times > passes and last > 0").groupBy(F.col("row").alias("_row")).agg(F.array_sort(F.collect_list(F.struct("lo", (F.col("lo") + F.col("last")).alias("hi")))).alias("spans"))
         plan = s.join(extra, F.col("row") == F.col("_row"), "left").where((F.col("size") > 0) & ((F.col("passes") > 0) | F.col("spans").isNotNull()))
         plan = plan.groupBy("doc_id", "t").agg(F.collect_list(F.struct("passes", "size", "spans")).alias("plan")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t"), "plan")
         boxed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_x"))
