@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickwork.functions import schema as S
-from wickwork.functions.timeframe import bounds, expected_pages_column, micros, seconds
+from wickwork.functions.timeframe import SECONDS, bounds, expected_pages_column, is_base, micros, minutes, ratio, seconds
 from wickwork.operators import impute, sparsity
 from wickwork.operators import vif as V
 from wickwork.operators.indicators import REGISTRY, add_indicators, output_name
@@ -203,6 +203,34 @@ def fetch_errors(spark, sf_dir):
     return exchange.fetch(spark, "wickwork.sources.sample:fetch", on_error="row", pagesPerTask=2, **_REQUESTS)[1].distinct()
 
 
+@query(sql.fetched("TIMESTAMP '2024-01-30'", "TIMESTAMP '2024-01-31 23:00:00'", ("AAA/USD",), ("1h",)))
+def fetch_open_ended(spark, sf_dir):
+    """Without an end: a cursor goes on until the exchange has no more."""
+    return exchange.fetch(spark, "wickwork.sources.sample:fetch", ["AAA/USD"], ["1h"], start="2024-01-30")[0]
+
+
+@query(sql.fetched("TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-02 23:00:00'", ("AAA/USD", "CCC/USD"), ("5m",)))
+def fetch_retried(spark, sf_dir):
+    """Each request fails at first and is made again, under a budget that all tasks share."""
+    return exchange.fetch(spark, "wickwork.sources.sample:flaky", ["AAA/USD", "CCC/USD"], ["5m"], start="2024-01-01", end="2024-01-02", budget_per_second=500, pagesPerTask=1, basePause=0.01)[0]
+
+
+@query(sql.fetched("TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-04 23:00:00'", ("AAA/USD", "CCC/USD"), ("1h", "5m"), stored=True))
+def fetch_and_save(spark, sf_dir):
+    """Download into the store, where one symbol fails; what is stored then."""
+    folder = _folder(spark)
+    exchange.fetch_and_save(spark, "wickwork.sources.sample:fetch", ["AAA/USD", "BAD/USD", "CCC/USD"], ["1h", "5m"], folder, start="2024-01-01", end="2024-01-04")
+    return _all(spark, folder)
+
+
+@query(sql.TIMEFRAMES)
+def timeframe_ratios(spark, sf_dir):
+    """Timeframes with their minutes, bases and ratios; unknown ones have none."""
+    names = [*SECONDS, "7m"]
+    rows = [(t, minutes(t) if t in SECONDS else None, b, is_base(t, b), ratio(t, b) if is_base(t, b) else None) for t in names for b in names]
+    return spark.createDataFrame(rows, "timeframe string, minutes long, base string, is_base boolean, ratio long")
+
+
 @query(sql.LATEST)
 def fetch_latest(spark, sf_dir):
     """The newest 40 candles that the exchange has of each series, without those of even hours."""

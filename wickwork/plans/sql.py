@@ -198,6 +198,18 @@ FETCHED = """WITH r(timeframe, s, lo, hi) AS (VALUES ('5m', 300, TIMESTAMP '2024
 c AS (SELECT timeframe, s, unnest(generate_series(lo, hi, to_seconds(s))) AS timestamp FROM r), n AS (SELECT *, epoch(timestamp)::BIGINT // s AS n FROM c)
 SELECT unnest(['AAA/USD', 'CCC/USD']) AS symbol, timeframe, timestamp, (n % 97)::DOUBLE AS open, (n % 97 + 2)::DOUBLE AS high, (n % 97 - 1)::DOUBLE AS low, (n % 97 + 1)::DOUBLE AS close, (n % 13)::DOUBLE AS volume FROM n"""
 _RULE = "(n % 97)::DOUBLE AS open, (n % 97 + 2)::DOUBLE AS high, (n % 97 - 1)::DOUBLE AS low, (n % 97 + 1)::DOUBLE AS close, (n % 13)::DOUBLE AS volume"
+
+
+def fetched(lo: str, hi: str, symbols: tuple[str, ...], timeframes: tuple[str, ...], stored: bool = False) -> str:
+    """What the rule of the sample exchange gives between the bounds."""
+    step = "CASE timeframe WHEN '1h' THEN 3600 ELSE 300 END"
+    names = ", ".join(f"'{s.replace('/', '-').lower() if stored else s}'" for s in symbols)
+    return f"""WITH t AS (SELECT unnest([{", ".join(f"'{t}'" for t in timeframes)}]) AS timeframe), c AS (SELECT timeframe, {step} AS s, unnest(generate_series({lo}, {hi} + CASE timeframe WHEN '5m' THEN INTERVAL 55 minutes ELSE INTERVAL 0 minutes END, to_seconds({step}))) AS timestamp FROM t),
+n AS (SELECT timeframe, timestamp, epoch(timestamp)::BIGINT // s AS n FROM c) SELECT unnest([{names}]) AS symbol, timeframe, timestamp, {_RULE} FROM n"""
+
+
+TIMEFRAMES = """WITH t(timeframe, minutes) AS (VALUES ('1m', 1), ('5m', 5), ('15m', 15), ('30m', 30), ('1h', 60), ('2h', 120), ('6h', 360), ('1d', 1440), ('7m', NULL))
+SELECT a.timeframe, a.minutes::BIGINT AS minutes, b.timeframe AS base, coalesce(a.minutes % b.minutes = 0, false) AS is_base, CASE WHEN a.minutes % b.minutes = 0 THEN a.minutes // b.minutes END::BIGINT AS ratio FROM t a, t b"""
 LATEST = f"""WITH n AS (SELECT timeframe, s, unnest(range(1706745600 // s - 40, 1706745600 // s)) AS n FROM (VALUES ('5m', 300), ('1h', 3600)) t(timeframe, s)), c AS (SELECT timeframe, n, TIMESTAMP '1970-01-01' + to_seconds(n * s) AS timestamp FROM n)
 SELECT 'AAA/USD' AS symbol, timeframe, timestamp, {_RULE} FROM c WHERE timeframe = '5m' OR hour(timestamp) % 2 = 1"""
 UPDATED = f"""WITH n AS (SELECT unnest(range(epoch(TIMESTAMP '2024-01-29')::BIGINT // 3600, 1706745600 // 3600)) AS n), c AS (SELECT n, TIMESTAMP '1970-01-01' + to_seconds(n * 3600) AS timestamp FROM n), p AS (SELECT timestamp, {_RULE} FROM c)

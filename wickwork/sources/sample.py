@@ -17,4 +17,15 @@ def fetch(symbol: str, timeframe: str, since: int | None, limit: int) -> list[li
     if since is None:
         return [[n * step, n % 97, n % 97 + 2, n % 97 - 1, n % 97 + 1, n % 13] for n in range(NOW // step - limit, NOW // step)]
     first = -(-since // step)
-    return [[n * step, n % 97, n % 97 + 2, n % 97 - 1, n % 97 + 1, n % 13] for n in range(first, first + min(limit, 50))]
+    return [[n * step, n % 97, n % 97 + 2, n % 97 - 1, n % 97 + 1, n % 13] for n in range(first, min(first + min(limit, 50), NOW // step))]
+
+
+_ASKED: set[tuple] = set()
+
+
+def flaky(symbol: str, timeframe: str, since: int | None, limit: int) -> list[list[float]]:
+    """fetch, but a worker's first request for anything fails as if the exchange were busy."""
+    if (symbol, timeframe, since) not in _ASKED:
+        _ASKED.add((symbol, timeframe, since))
+        raise TimeoutError("429 Too Many Requests")
+    return fetch(symbol, timeframe, since, limit)
