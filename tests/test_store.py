@@ -105,3 +105,13 @@ def test_stream_upserts(spark, candles, folder, tmp_path):
     stream = spark.readStream.schema(candles(1).schema).parquet(source)
     write_stream(stream, folder, f"{tmp_path}/check").awaitTermination(60)
     assert store.load(spark, folder, "aave-usdc", "5m").count() == 2
+
+
+def test_a_save_reads_only_the_months_it_writes(spark, candles, tmp_path):
+    folder = f"file://{tmp_path}/s"
+    store.save(candles([(60 * 24 * d, 1.0) for d in range(200)]), folder)
+    new = candles([(60 * 24 * 100, 2.0)]).selectExpr("*", "year(timestamp) AS year", "month(timestamp) AS month").where("close > 0")
+    old = store.touched(store.stored(spark, folder), new)
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and plan.count("PartitionFilters: [isnotnull") + plan.count("dynamicpruning") >= 2
+    assert {(r["year"], r["month"]) for r in old.select("year", "month").collect()} == {(2025, 4)}

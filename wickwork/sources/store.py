@@ -90,6 +90,11 @@ def load(spark: SparkSession, data_dir: str, symbol: str, timeframe: str, year:
     return _candles(S.keep_last(df)).orderBy("timestamp")
 
 
+def touched(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored rows of the months that new has rows for; a join on the folders' columns, which prunes the scan at run time."""
+    return _in_place(old).join(new.select(*PARTS).distinct(), list(PARTS), "left_semi")
+
+
 def save(df: DataFrame, data_dir: str, symbol: str | None = None, timeframe: str | None = None) -> None:
     """Upserts candles: new rows win, rows in the wrong month's folder go, other months stay untouched. An empty frame changes nothing.
 
@@ -106,8 +111,7 @@ def save(df: DataFrame, data_dir: str, symbol: str | None = None, timeframe: str
     )
     df = S.keep_last(df)
     if exists(spark, data_dir):
-        old = _in_place(stored(spark, data_dir))
-        old = old.join(df.select(*PARTS).distinct(), list(PARTS), "left_semi").select(*df.columns)
+        old = touched(stored(spark, data_dir), df).select(*df.columns)
         newer = df.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
         rank = F.struct("_new", "ingest_seq")
         df = S.keep_last(newer.withColumn("_rank_by", rank), seq="_rank_by").drop("_new", "_rank_by")
