@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wickwork.session import remove, remove_at_exit, shared_folder
+
 #: White space between words: the complement of ``[^\x20\x09-\x0D]``.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -24,14 +26,8 @@ def partitions(spark: SparkSession) -> int:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = getattr(spark.sparkContext, "_wickwork_shared", None)
-        if not found:
-            found = "file://" + tempfile.mkdtemp(prefix="wickwork-")
-            spark.sparkContext._wickwork_shared = found
-    return found
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset in a local session (tests); on a cluster that is an error."""
+    return shared_folder(spark)
 
 
 def _collect(spark: SparkSession) -> None:
@@ -54,12 +50,6 @@ def cut(df: DataFrame) -> DataFrame:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def keep(df: DataFrame) -> DataFrame:
     """df, computed once and written as a table in the shared folder: smaller than a checkpoint, but no longer dealt by key. It goes when the program ends."""
     spark = df.sparkSession
@@ -71,9 +61,32 @@ def keep(df: DataFrame) -> DataFrame:
     finally:
         spark.conf.set(_CLEANUP, before)
     del df
-    atexit.register(_remove, spark, path)
+    remove_at_exit(spark, path)
     _collect(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._kept_at = path
+    _KEPT.append(path)
+    return out
+
+
+_KEPT: list[str] = []
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table that keep made, and that nothing will read again."""
+    path = df.__dict__.pop("_kept_at", None)
+    if path:
+        remove(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, in the end, the tables that keep makes inside, but for those that were kept last."""
+    before = len(_KEPT)
+    yield
+    for path in _KEPT[before:-1]:
+        remove(spark, path)
+    del _KEPT[before:-1]
 
 
 def redealt(key: Column) -> Column:
