@@ -15,9 +15,12 @@ never all pairs, and a distributed star contraction joins the forests.
 For near copies at a given Jaccard similarity of their sets of shingles (``similar``, ``keep_one``) fingerprints only estimate. There the sets are
 joined exactly, by prefix filter: with each set sorted by how many texts hold a shingle, two sets can reach the similarity s only if they share
 one of the first n - ceil(s n) + 1 of their n shingles, and enough of them are left from the first shared one on. Shingles of a single text come first in
-that order and are never keys, so a text with too few others has no near copies and is left out. Each candidate pair is tested on the whole sets.
-The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with ``DRAWN`` of them, then,
+that order and are never keys, so a text with too few others has no near copies and is left out. That is found out in two steps: shingles whose hashes fall into
+``LOW`` 256ths of all values are counted first, and only texts that can still have enough shared ones send the others. Each candidate pair is tested on the whole sets.
+The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with two of them, the one with the smallest share of
+shingles of its own, which is the likeliest to be near the others, and one by lot; then,
 between the components that this gives, all that is left: whatever two texts of a key are not connected yet is compared.
+Joins whose sides grow with the corpus are by merge; none is broadcast.
 
 Null and empty texts have fingerprint zero, linked like any other; as sets of shingles they are equal. A null doc_id takes part; components name the
 smallest id that is not null. Rows repeat in the result as they do in the input. An empty table gives no rows.
@@ -34,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import SPACES, cut, keep, redealt
+from wickwork.llm.common import SPACES, cut, keep, redealt, release
 
 #: Fingerprints that the tree is fitted on, at most about this many; all are routed through it.
 SAMPLE = 200_000
 LEAF, LARGEST_LEAF, BLOCK = 4096, 65_536, 512
-DRAWN = 2
+LOW = 104
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -213,16 +216,18 @@ def links(nodes: DataFrame, radius: int = 2, sample: int = SAMPLE, leaf: int = L
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root): every node of the edges with the smallest node of its component, by large- and small-star steps."""
-    e = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
+    """(node, root): every node of the edges with the smallest node of its component, by large- and small-star steps. Each step's edges are a table that replaces the one before."""
+    e = keep(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     mark = None
     while True:
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).select(redealt(F.col("u")).alias("k"), "m")
-        large = both.join(low, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low.hint("merge"), F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(redealt(F.col("u")).alias("k"), "m")
-        small = large.join(low, F.col("u") == F.col("k")).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = cut(small.select("x.u", "x.v").where("u <> v").distinct())
+        small = large.join(low.hint("merge"), F.col("u") == F.col("k")).select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
+        new = keep(small.select("x.u", "x.v").where("u <> v").distinct())
+        release(e)
+        e = new
         now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
         if now == mark or not now[0]:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -234,10 +239,10 @@ def cluster(documents: DataFrame, radius: int = 2, shingle: int = 3, **search) -
     fps = cut(fingerprints(documents, shingle))
     nodes = keep(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
     roots = components(links(nodes, radius, **search))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
+    named = nodes.join(roots.hint("merge"), nodes["fp"] == roots["node"], "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("id").alias("component_id")).select(redealt(F.col("root")).alias("r"), "component_id")
-    named = named.join(ids, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return fps.join(named, F.col("fp") == F.col("f")).select("doc_id", "t", "fp", "component_id")
+    named = named.join(ids.hint("merge"), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
+    return fps.join(named.hint("merge"), F.col("fp") == F.col("f")).select("doc_id", "t", "fp", "component_id")
 
 
 def near_duplicates(documents: DataFrame, **options) -> DataFrame:
@@ -245,8 +250,9 @@ def near_duplicates(documents: DataFrame, **options) -> DataFrame:
     return cluster(documents, **options).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _hashes(documents: DataFrame, shingle: int) -> DataFrame:
-    """(t, n, h) per distinct text and distinct shingle: h the shingle's hash, n how many the text has."""
+def _hashes(texts: DataFrame, shingle: int, similarity: float, low: bool) -> DataFrame:
+    """(t, n, need, h) per text and distinct shingle with a low hash, or with another: h the shingle's hash, n how many the text has, and need how many
+    of its low ones must be shared for the text to have a near copy. Where that is none the text has a row without h."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -255,13 +261,48 @@ def _hashes(documents: DataFrame, shingle: int) -> DataFrame:
         for b in batches:
             for t, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 raw, starts, ends = _shingles(text.as_py(), shingle)
-                h = np.unique(np.array([of(raw[x:y], 42) for x, y in zip(starts, ends, strict=True)], np.uint64).view(np.int64))
+                h = np.unique(np.array([of(raw[x:y], 42) for x, y in zip(starts, ends, strict=True)], np.uint64))
+                first = (h & np.uint64(255)) < LOW
+                n, need = len(h), int(np.ceil(similarity * len(h) - 1e-6)) - int(np.count_nonzero(~first))
+                h = h[first if low else ~first].view(np.int64)
+                if low and n and need <= 0:  # none of its low ones need be shared, so it goes on whether or not any is
+                    yield pa.RecordBatch.from_arrays([pa.array([t]), pa.array([n], pa.int32()), pa.array([need], pa.int32()), pa.array([None], pa.int64())], names)
                 for at in range(0, len(h), 1 << 16):
                     part = h[at : at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t)), pa.array(np.full(len(part), len(h), np.int32)), pa.array(part)], ["t", "n", "h"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t)), pa.array(np.full(len(part), n, np.int32)), pa.array(np.full(len(part), need, np.int32)), pa.array(part)], names)
 
-    texts = documents.select(F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).dropDuplicates(["t"])
-    return keep(texts).mapInArrow(work, "t long, n int, h long")
+    names = ["t", "n", "need", "h"]
+    found = texts.mapInArrow(work, "t long, n int, need int, h long")
+    return found.select("t", (F.col("n").cast("long") * (1 << 32) + F.col("need") + (1 << 31)).alias("k"), F.coalesce("h", F.expr(_MARK)).alias("h"))
+
+
+#: The h of a row that stands for its text alone.
+_MARK = "t ^ 6510615555426900570L"
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """(t, k, x): the rows whose h stands in several texts, x being how many these are and h; and the rows of texts alone, x being null."""
+    d = rows.withColumn("c", F.count("*").over(Window.partitionBy("h"))).where((F.col("c") > 1) | (F.col("h") == F.expr(_MARK)))
+    return d.select("t", "k", F.when(F.col("h") != F.expr(_MARK), F.struct("c", "h")).alias("x"))
+
+
+def _lists(documents: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(t, n, own, more), kept: of texts that may have near copies the number of shingles, those that other such texts have, too, by how many do, and how many of them are keys."""
+    texts = keep(documents.select(F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text")).dropDuplicates(["t"]))
+    rows = keep(_shared(_hashes(texts, shingle, similarity, True)))
+    n, need = F.shiftright("k", 32).cast("int"), F.col("k").bitwiseAND(F.lit((1 << 32) - 1)) - (1 << 31)
+    low = keep(rows.groupBy("t").agg(F.first("k").alias("k"), F.collect_list("x").alias("a")).where(F.size("a") >= need).select("t", n.alias("n"), "a"))
+    release(rows)
+    some = texts.join(low.select(F.col("t").alias("_t")).hint("merge"), F.col("t") == F.col("_t")).select("t", "text")
+    high = keep(_shared(_hashes(some, shingle, similarity, False)).select("t", "x"))
+    release(texts)
+    more = high.groupBy(F.col("t").alias("_t")).agg(F.collect_list("x").alias("b")).hint("merge")
+    lists = low.join(more, F.col("t") == F.col("_t"), "left").select("t", "n", F.sort_array(F.concat("a", F.coalesce("b", F.array().cast("array<struct<c:bigint,h:bigint>>")))).alias("own"))
+    lists = lists.withColumn("own", F.col("own.h")).withColumn("more", F.size("own") - _least(F.col("n"), similarity) + 1)
+    lists = keep(lists.where("more > 0"))
+    release(low)
+    release(high)
+    return lists
 
 
 def _least(n: Column, share: float) -> Column:
@@ -272,22 +313,19 @@ def _least(n: Column, share: float) -> Column:
 def _verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFrame:
     """(u, v): the pairs whose sets of shingles reach the similarity; lists hold all shingles that two texts can have in common."""
     for end in ("u", "v"):
-        pairs = pairs.join(lists.select(F.col("t").alias(f"t_{end}"), F.col("n").alias(f"n_{end}"), F.col("own").alias(f"o_{end}")), F.col(end) == F.col(f"t_{end}"))
+        pairs = pairs.join(lists.select(F.col("t").alias(f"t_{end}"), F.col("n").alias(f"n_{end}"), F.col("own").alias(f"o_{end}")).hint("merge"), F.col(end) == F.col(f"t_{end}"))
     common = F.size(F.array_intersect("o_u", "o_v"))
     return pairs.where(common >= similarity * (F.col("n_u") + F.col("n_v") - common) - 1e-6).select("u", "v")
 
 
 def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, t, root) per document: root is equal for documents that links connect."""
-    held = _hashes(documents, shingle).withColumn("c", F.count("*").over(Window.partitionBy("h"))).where("c > 1")
-    lists = keep(held).groupBy("t").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("c", "h"))).alias("own"))
-    lists = lists.withColumn("own", F.col("own.h")).withColumn("more", F.size("own") - _least(F.col("n"), similarity) + 1)
-    lists = keep(lists.where("more > 0"))
+    lists = _lists(documents, shingle, similarity)
 
     def keys(rows: DataFrame, *columns: str) -> DataFrame:
         """The prefix of each list by key h; left is how many of the text's shingles come from there on."""
-        d = rows.select("t", "n", *columns, F.size("own").alias("m"), F.posexplode(F.slice("own", F.lit(1), F.col("more"))).alias("j", "h"))
-        return d.select("h", "t", "n", *columns, (F.col("m") - F.col("j")).alias("left"))
+        d = rows.select("t", "n", *columns, F.size("own").alias("_m"), F.posexplode(F.slice("own", F.lit(1), F.col("more"))).alias("j", "h"))
+        return d.select("h", "t", "n", *columns, (F.col("_m") - F.col("j")).alias("left"))
 
     def can(a: str, b: str) -> Column:
         return F.least(f"{a}left", f"{b}left") >= _least(F.col(f"{a}n") + F.col(f"{b}n"), similarity / (1 + similarity))
@@ -295,28 +333,31 @@ def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
     def both(a: str, b: str) -> list[Column]:
         return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
-    lots = [F.min(F.struct(F.xxhash64("t", F.lit(i)).alias("o"), "t", "n", "left")).alias(f"r{i}") for i in range(DRAWN)]
-    drawn = keys(lists).groupBy("h").agg(F.count("*").alias("c"), *lots).where("c > 1")
-    drawn = drawn.select(redealt(F.col("h")).alias("q"), F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"r{i}")[x].alias(f"r_{x}") for x in ("t", "n", "left"))) for i in range(DRAWN))))).alias("r")).select("q", "r.*")
-    pairs = keys(lists).join(drawn, F.col("h") == F.col("q")).where((F.col("t") != F.col("r_t")) & can("", "r_")).select(*both("t", "r_t")).distinct()
+    own_share = (F.col("n") - F.col("m")) / F.col("n")
+    lots = [F.min(F.struct(o.alias("o"), F.xxhash64("t").alias("x"), "t", "n", "left")).alias(f"r{i}") for i, o in enumerate((own_share, F.lit(0.0)))]
+    drawn = keys(lists.withColumn("m", F.size("own")), "m").groupBy("h").agg(F.count("*").alias("c"), *lots).where("c > 1")
+    drawn = drawn.select(redealt(F.col("h")).alias("q"), F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"r{i}")[x].alias(f"r_{x}") for x in ("t", "n", "left"))) for i in (0, 1))))).alias("r")).select("q", "r.*")
+    pairs = keys(lists).join(drawn.hint("merge"), F.col("h") == F.col("q")).where((F.col("t") != F.col("r_t")) & can("", "r_")).select(*both("t", "r_t")).distinct()
     first = keep(_verified(pairs, lists, similarity))
 
     roots = components(first)
-    rooted = keep(lists.join(roots, F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
+    rooted = keep(lists.join(roots.hint("merge"), F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
     per = keys(rooted, "root").groupBy("h", "root").agg(F.count("*").alias("c"))
     per = per.groupBy("h").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most")).where("roots > 1")
     per = per.select(redealt(F.col("h")).alias("q"), F.col("most.root").alias("most"))
-    mixed = keep(keys(rooted, "root").join(per, F.col("h") == F.col("q")).drop("q"))
+    mixed = keep(keys(rooted, "root").join(per.hint("merge"), F.col("h") == F.col("q")).drop("q"))
     few = mixed.where("root <> most").select(*(F.col(x).alias(f"f_{x}") for x in ("h", "t", "n", "left", "root")))
     once = (F.col("root") == F.col("most")) | (F.col("t") < F.col("f_t"))
-    pairs = few.join(mixed, (F.col("h") == F.col("f_h")) & (F.col("root") != F.col("f_root")) & once & can("", "f_")).select(*both("t", "f_t")).distinct()
+    pairs = few.join(mixed.hint("merge"), (F.col("h") == F.col("f_h")) & (F.col("root") != F.col("f_root")) & once & can("", "f_")).select(*both("t", "f_t")).distinct()
     second = _verified(pairs, lists, similarity)
 
     ids = documents.select("doc_id", F.xxhash64("text").alias("t"), (F.btrim(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(SPACES)) == "").alias("blank"))
     blank = ids.where("blank").select("t").distinct()
     blank = blank.crossJoin(blank.agg(F.min("t").alias("head"))).select(F.col("t").alias("u"), F.col("head").alias("v"))
     roots = components(first.union(second).union(blank))
-    return ids.join(roots, F.col("t") == F.col("node"), "left").select("doc_id", "t", F.coalesce("root", "t").alias("root"))
+    for used in (lists, first, rooted, mixed):
+        release(used)
+    return ids.join(roots.hint("merge"), F.col("t") == F.col("node"), "left").select("doc_id", "t", F.coalesce("root", "t").alias("root"))
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
@@ -324,9 +365,9 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     c = keep(similar(documents, **options))
     by = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "t")
     best = keep(c.groupBy(F.col("root").alias("c")).agg(F.min(by).alias("best"), F.count("*").alias("n")).where("n > 1").select("c", "best"))
-    rest = c.join(best, F.col("root") == F.col("c")).where(by != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
+    rest = c.join(best.hint("merge"), F.col("root") == F.col("c")).where(by != F.col("best")).select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
     boxed = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_k"), F.xxhash64("text").alias("_x"))
-    kept = boxed.join(rest, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t")), "left_anti")
+    kept = boxed.join(rest.hint("merge"), F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_x") == F.col("_t")), "left_anti")
     repeated = c.groupBy("doc_id", "t").count().where("count > 1").join(best, F.col("best").eqNullSafe(by), "left_semi")
     if not repeated.isEmpty():
         kept = kept.dropDuplicates(["_k", "_x"])
