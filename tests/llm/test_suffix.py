@@ -35,21 +35,45 @@ def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     assert found(suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string"))) == suffix.brute(dict(rows))
 
 
+def test_one_line_in_all_documents(spark):
+    """A line with other words around it each time: its minimizers have a segment per document, and no shard gets them all."""
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(7))
+    line = " ".join(word() for _ in range(25))
+    rows = [(i, " ".join(word() for _ in range(12)) + f" {i} " + line + f" {i} " + " ".join(word() for _ in range(12))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1]) for i in range(50)]  # copies, too
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found(suffix.dedup(df, hot=20, per_shard=30)) == suffix.brute(dict(rows))
+    base = suffix.packed(df)
+    occ = suffix.occurrences(base)
+    segs = occ.groupBy("anchor", "seg").agg({"rid": "min", "at": "min"})
+    sizes = {r["anchor"]: r["count"] for r in segs.groupBy("anchor").count().collect()}
+    assert max(sizes.values()) >= 200  # what one shard would have got
+    cold = segs.selectExpr("anchor", "seg", "`min(rid)` AS rid", "`min(at)` AS at").where(~segs["anchor"].isin([a for a, n in sizes.items() if n > 20]))
+    found_in = suffix.shard_texts(base, cold, max(1, cold.count() // 30), 100).groupBy("shard").count().collect()
+    assert max(x["count"] for x in found_in) <= 20 + 3 * 30
+
+
 def test_order_of_odd_rows(odd):
-    got = sorted((r["doc_id"] is None, r["doc_id"], r["n_removed"]) for r in suffix.dedup(odd).collect())
-    own = next(x[2] for x in sorted(got, key=lambda x: x[2]) if x[1] == 1 and x[2] > 0)
-    assert len(got) == 7 and sum(x[2] == x[2] and x[2] > own for x in got) == 2  # the second copy and the null id lose all, the first what it repeats itself
+    """Of rows with one id the first loses only what it repeats itself, the second copy all; the null id comes last and loses all, too."""
+    long = max((r["text"] or "" for r in odd.collect()), key=len)
+    alone = suffix.brute({0: long})[0][1]
+    got = sorted(((r["doc_id"], r["n_removed"]) for r in suffix.dedup(odd).collect()), key=str)
+    assert got == sorted([(0, 0), (1, 0), (1, alone), (1, len(long)), (2, 0), (2, 0), (None, len(long))], key=str) and 0 < alone < len(long)
 
 
 def test_documents_keep_their_columns(documents, corpus):
     out = suffix.without_repeats(documents)
     assert out.schema == documents.schema
-    want = suffix.brute(corpus)
+    want, before = suffix.brute(corpus), {r["doc_id"]: r for r in documents.collect()}
     for r in out.collect():
+        text = corpus[r["doc_id"]] or ""
         if want[r["doc_id"]][1] == 0:
-            assert r["text"] == (corpus[r["doc_id"]] or (r["text"] and ""))  or corpus[r["doc_id"]] is None
+            assert r["text"] == text and r["n_chars"] == before[r["doc_id"]]["n_chars"]
         else:
-            assert r["n_chars"] == len(r["text"]) < len(corpus[r["doc_id"]])
+            lost = len(text.encode()) - len(r["text"].encode())
+            assert r["n_chars"] == len(r["text"]) and want[r["doc_id"]][1] <= lost <= want[r["doc_id"]][1] + 6 * want[r["doc_id"]][2]
+        assert all(r[c] == before[r["doc_id"]][c] for c in documents.columns if c not in ("text", "n_chars"))
 
 
 def test_empty(empty):

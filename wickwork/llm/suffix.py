@@ -14,8 +14,10 @@ same document. Strings (windows) that repeat are found in shards of text small e
    in that many bytes: each maximal run of them is a class of equal windows, and all but its earliest one go.
 4. Later occurrences of an interned segment lose what it covers, too; per document the spans are merged.
 
-A minimizer with more than ``HOT`` distinct segments is not one shard's business: its windows are dealt one by one by
-a hash of their bytes, each as a segment of its own, so no shard grows with the corpus.
+A minimizer with more than ``HOT`` distinct segments (a passage in a large part of the corpus, with other words around it each time) is not one shard's business.
+The windows of its segments are interned one by one, by a 128-bit hash: the earliest of equal ones stands for all, the others go by a join that can be split.
+Distinct windows of one length are classes of their own, so nothing of them is left for a search. So no shard has more than some ``PER_SHARD`` segments and
+those of one minimizer, ``HOT`` at most, and no shard grows with the corpus.
 
 Texts are compared as UTF-8 bytes. A null or empty text has no bytes. Of rows that repeat a doc_id, the order among
 them is that of the input's partitions and rows; null ids come last. Texts are kept compressed in the shared folder while this
@@ -33,9 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import cut, keep, partitions, redealt
+from wickwork.llm.common import cut, keep, partitions, release
 
-LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 20_000, 2_000, 1 << 19
+LENGTH, GRAM, HOT, PER_SHARD, PIECE = 100, 32, 5_000, 2_000, 1 << 19
 _RNG = np.random.default_rng(20_240_229)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RNG.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -238,62 +240,101 @@ def _spans(offsets: np.ndarray, length: int) -> list[int]:
     return np.column_stack([a, b]).ravel().tolist()
 
 
-def spans_by_row(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, per_shard: int = PER_SHARD) -> DataFrame:
-    """(rid, spans): the byte spans (from and to by turns, not merged) that go, of rows that lose any."""
-    if length - gram + 1 > 255:
-        raise ValueError("at most 255 windows share a minimizer")
-    twice = keep(occurrences(base, length, gram, whole=False).groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where("c > 1").select("a"))
-    occ = occurrences(base, length, gram)
-    occ = keep(occ.join(twice, F.col("anchor") == F.col("a")).drop("a"))
-    segs = keep(occ.groupBy("anchor", "seg").agg(F.min(F.struct("rid", "at")).alias("f")).select("anchor", "seg", "f.rid", "f.at"))
-    many = segs.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where(F.col("c") > hot).select(redealt(F.col("a")).alias("a"), F.lit(True).alias("hot"))
-    shards = max(1, -(-segs.count() // per_shard))
-    flagged = segs.join(many, F.col("anchor") == F.col("a"), "left").select("anchor", "seg", "rid", "at", F.coalesce("hot", F.lit(False)).alias("hot"))
-    lists = flagged.groupBy(F.col("rid").alias("r")).agg(F.collect_list(F.struct("anchor", "seg", "at", "hot")).alias("segs"))
-    texts = base.select("rid", "z").join(lists, F.col("rid") == F.col("r")).select("rid", "z", "segs")
+def _wanted(base: DataFrame, segs: DataFrame) -> DataFrame:
+    """(rid, z, segs): rows of base with those of the segments that lie in them."""
+    lists = segs.groupBy(F.col("rid").alias("r")).agg(F.collect_list(F.struct("anchor", "seg", "at")).alias("segs"))
+    return base.select("rid", "z").join(lists.hint("merge"), F.col("rid") == F.col("r")).select("rid", "z", "segs")
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+
+def shard_texts(base: DataFrame, segs: DataFrame, shards: int, length: int) -> DataFrame:
+    """(shard, anchor, seg, rid, start, text) of segments: what the shards search."""
+    kinds = {"shard": pa.int64(), "anchor": pa.int64(), "seg": pa.int64(), "rid": pa.int64(), "start": pa.int64(), "text": pa.binary()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        kinds = {"shard": pa.int64(), "anchor": pa.int64(), "seg": pa.int64(), "rid": pa.int64(), "start": pa.int64(), "off": pa.int32(), "text": pa.binary()}
-        for b in batches:
-            unpack = zstandard.ZstdDecompressor().decompress
-            rows: list[tuple] = []
+        rows: list[tuple] = []
 
-            def out() -> pa.RecordBatch:
-                columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
-                rows.clear()
-                return pa.RecordBatch.from_arrays(columns, list(kinds))
+        def out() -> pa.RecordBatch:
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds.values(), strict=True)]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, list(kinds))
 
+        for b in batches:
+            unpack = zstandard.ZstdDecompressor().decompress
             for rid, z, wanted in zip(*b.columns, strict=True):
                 rid, raw = rid.as_py(), unpack(z.as_py())
                 for x in wanted.as_py():
                     start, n, anchor = x["at"] >> 8, x["at"] & 255, x["anchor"]
-                    text = raw[start : start + n + length - 1]
-                    if x["hot"]:
-                        for o in range(n):
-                            one = text[o : o + length]
-                            rows.append((xxhash.xxh64_intdigest(one) % shards, anchor, x["seg"], rid, start, o, one))
-                    else:
-                        rows.append(((anchor ^ anchor >> 32) % shards, anchor, x["seg"], rid, start, 0, text))
+                    rows.append(((anchor ^ anchor >> 32) % shards, anchor, x["seg"], rid, start, raw[start : start + n + length - 1]))
                     if len(rows) >= 20_000:
                         yield out()
-            if rows:
-                yield out()
+        if rows:
+            yield out()
+
+    return _wanted(base, segs).mapInArrow(run, "shard long, anchor long, seg long, rid long, start long, text binary")
+
+
+def _one_by_one(base: DataFrame, segs: DataFrame, length: int) -> DataFrame:
+    """(anchor, seg, spans): what the windows of these segments lose to equal windows before them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        import zstandard
+
+        for b in batches:
+            unpack = zstandard.ZstdDecompressor().decompress
+            for rid, z, wanted in zip(*b.columns, strict=True):
+                rid, raw = rid.as_py(), unpack(z.as_py())
+                for x in wanted.as_py():
+                    start, n = x["at"] >> 8, x["at"] & 255
+                    h = [xxhash.xxh3_128_digest(raw[o : o + length]) for o in range(start, start + n)]
+                    same = lambda v, t=pa.int64(), n=n: pa.array(np.full(n, v), t)
+                    yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary()), same(rid), pa.array(np.arange(start, start + n)), same(x["anchor"]), same(x["seg"]), pa.array(np.arange(n), pa.int32())], names)
+
+    names = ["w", "rid", "place", "anchor", "seg", "off"]
+    windows = keep(_wanted(base, segs).mapInArrow(run, "w binary, rid long, place long, anchor long, seg long, off int"))
+    first = keep(windows.groupBy("w").agg(F.min(F.struct("rid", "place")).alias("f"), F.count("*").alias("c")).where("c > 1").select(F.col("w").alias("_w"), F.col("f.rid").alias("r"), F.col("f.place").alias("q")))
+    gone = windows.join(first.hint("merge"), F.col("w") == F.col("_w")).where("rid <> r or place <> q")
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"anchor": pdf["anchor"].iloc[:1], "seg": pdf["seg"].iloc[:1], "spans": [_spans(np.sort(pdf["off"].to_numpy()).astype(np.int64), length)]})
+
+    return gone.select("anchor", "seg", "off").groupBy("anchor", "seg").applyInPandas(merged, "anchor long, seg long, spans array<int>")
+
+
+def spans_by_row(base: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT, per_shard: int = PER_SHARD) -> DataFrame:
+    """(rid, spans): the byte spans (from and to by turns, not merged) that go, of rows that lose any."""
+    if length - gram + 1 > 255:
+        raise ValueError("at most 255 windows share a minimizer")
+    twice = keep(occurrences(base, length, gram, whole=False).groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where("c > 1").select("a"))
+    occ = occurrences(base, length, gram)
+    occ = keep(occ.join(twice, F.col("anchor") == F.col("a")).drop("a"))
+    segs = keep(occ.groupBy("anchor", "seg").agg(F.min(F.struct("rid", "at")).alias("f")).select("anchor", "seg", "f.rid", "f.at"))
+    release(twice)
+    many = keep(segs.groupBy(F.col("anchor").alias("a")).agg(F.count("*").alias("c")).where(F.col("c") > hot).select("a"))
+    shards = max(1, -(-segs.count() // per_shard))
+    hottest = not many.isEmpty()
+    cold = segs.join(many.hint("merge"), F.col("anchor") == F.col("a"), "left_anti") if hottest else segs
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["rid", "start", "off"])
+        pdf = pdf.sort_values(["rid", "start"])
         found = repeated_windows(pdf["text"].tolist(), length)
-        spans = [_spans(g + o, length) for g, o in zip(found, pdf["off"], strict=True)]
+        spans = [_spans(g, length) for g in found]
         return pd.DataFrame({"anchor": pdf["anchor"], "seg": pdf["seg"], "spans": spans})[[bool(x) for x in spans]]
 
-    own = keep(texts.mapInArrow(slices, "shard long, anchor long, seg long, rid long, start long, off int, text binary").groupBy("shard").applyInPandas(search, "anchor long, seg long, spans array<int>"))
+    own = shard_texts(base, cold, shards, length).groupBy("shard").applyInPandas(search, "anchor long, seg long, spans array<int>")
+    if hottest:
+        own = own.union(_one_by_one(base, segs.join(many.hint("merge"), F.col("anchor") == F.col("a")).drop("a"), length))
+    own = keep(own)
     first = segs.select(F.col("anchor").alias("a"), F.col("seg").alias("s"), F.col("rid").alias("r"), F.col("at").alias("b"))
     mine = segs.join(own, ["anchor", "seg"]).select("rid", F.expr("transform(spans, x -> shiftright(at, 8) + x)").alias("spans"))
     later = occ.join(first, (F.col("anchor") == F.col("a")) & (F.col("seg") == F.col("s"))).where("rid <> r or at <> b")
     later = later.select("rid", F.expr(f"array(shiftright(at, 8), shiftright(at, 8) + (at & 255) + {length - 1})").alias("spans"))
-    return keep(mine.union(later).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    out = keep(mine.union(later).groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    for used in (occ, segs, many, own):
+        release(used)
+    return out
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -373,7 +414,7 @@ def dedup(documents: DataFrame, **options) -> DataFrame:
 
 
 def without_repeats(documents: DataFrame, **options) -> DataFrame:
-    """documents, all columns, whose texts lost their repeated bytes (and bytes of characters that a span cuts through); n_chars, where there is one, follows."""
+    """documents, all columns, whose texts lost their repeated bytes (and bytes of characters that a span cuts through); n_chars, where there is one, follows. A null text comes out empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
