@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wickwork.llm.common import SPACES, keep, redealt, spaced, words
+from wickwork.llm.common import SPACES, keep, redealt, release, spaced, words
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 MIN_DOCS, SHARE, KEEP_TENTHS = 10, 0.005, 3
@@ -122,8 +122,7 @@ def removed_lines(documents: DataFrame, host: str = "source", min_docs: int = MI
     lines, texts = table.where("h is not null"), table.where("h is null").select(F.col("_g").alias("_h"), F.col("_t").alias("_u"), F.col("n").alias("total"), F.col("rows").alias("copies"))
     often = lines.groupBy("_g", "h").agg(F.count("*").alias("n")).where(F.col("n") > min_docs).select(F.col("_g").alias("_h"), redealt(F.col("h")).alias("_k"))
     hit = keep(lines.join(often, _on(("_g", "_h"), ("h", "_k"))).select("_g", "_t", "h", "n"))
-    own = hit.groupBy(*KEY).agg(F.sum("n").alias("often"))
-    own = own.join(texts, _on(("_g", "_h"), ("_t", "_u"))).select("_h", "_u", "total", "copies", _enough(keep_tenths, "often").alias("speaks"))
+    own = hit.groupBy(*KEY).agg(F.sum("n").alias("often")).join(texts, _on(("_g", "_h"), ("_t", "_u"))).select("_h", "_u", "total", "copies", _enough(keep_tenths, "often").alias("speaks"))
     own = keep(own)
     per = hit.join(own, _on(("_g", "_h"), ("_t", "_u"))).groupBy("_g", "h").agg(F.count("*").alias("n"), F.count_if("speaks").alias("against"))
     hosts = texts.groupBy(F.col("_h").alias("_i")).agg(F.count("*").alias("docs"))
@@ -131,8 +130,11 @@ def removed_lines(documents: DataFrame, host: str = "source", min_docs: int = MI
     bad = bad.select(F.col("_g").alias("_i"), redealt(F.col("h")).alias("_k"))
     gone = hit.join(bad, _on(("_g", "_i"), ("h", "_k"))).groupBy(*KEY).agg(F.collect_set("h").alias("bad"), F.sum("n").alias("removed"))
     gone = gone.join(own, _on(("_g", "_h"), ("_t", "_u")))
-    whole = lambda c: F.expr(f"{c} div copies")
-    return gone.select("_h", redealt(F.col("_u")).alias("_u"), "bad", whole("removed").alias("removed"), whole("total").alias("total"))
+    whole = lambda c: F.expr(f"{c} div copies").alias(c)
+    gone = keep(gone.select("_h", "_u", "bad", whole("removed"), whole("total")))
+    for used in (table, hit, own):
+        release(used)
+    return gone
 
 
 def _enough(keep_tenths: int, removed: str = "removed") -> Column:
