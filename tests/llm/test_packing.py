@@ -56,10 +56,43 @@ def test_few_sequences():
         assert max(bins) + 1 <= 1.01 * best_fit(lengths, 1024) + 1
 
 
-def test_rule():
-    # 40 fits gaps 50 (one bin) and 60 (three bins); leaving a crowded gap for an empty one lowers the squares most
-    bins, offsets = P.place([50, 40, 40, 40, 40], 100)
-    assert bins[0] == 0 and offsets[0] == 0 and len(set(bins)) <= 3
+def plain_sum_of_squares(lengths, capacity):
+    """(bin, offset) of each length: every open bin that has room is tried, and the sum over gaps of squared counts of open bins added up anew."""
+    gaps, out = [], []  # gap of each bin; 0 is closed
+    order = []  # bins in the order in which they got their gap
+    for n in lengths:
+        best = None
+        for g in sorted({x for x in gaps if x >= n}):
+            after = list(gaps)
+            after[max(b for b in range(len(gaps)) if gaps[b] == g)] = g - n
+            squares = sum(after.count(x) ** 2 for x in set(after) if x)
+            if best is None or squares < best[0]:
+                best = (squares, g)
+        if best is None:
+            b, g = len(gaps), capacity
+            gaps.append(capacity)
+        else:
+            g = best[1]
+            b = next(b for b in reversed(order) if gaps[b] == g)
+            order.remove(b)
+        out.append((b, capacity - g))
+        gaps[b] = g - n
+        order.append(b)
+    return out
+
+
+@pytest.mark.parametrize("capacity", [20, 100, 64])
+def test_rule(capacity):
+    r = np.random.default_rng(capacity)
+    for k in range(15):
+        lengths = r.integers(1, capacity if k % 2 else capacity // 2, 60).tolist()
+        lengths = sorted(lengths, reverse=True) if k % 3 else lengths
+        assert list(zip(*P.place(lengths, capacity), strict=True)) == plain_sum_of_squares(lengths, capacity)
+
+
+def test_the_rule_prefers_a_crowded_gap():
+    """After 50, 40, 40 the gaps are 50 and 20, of one bin each, both with a 40; a 20 fits either: it closes the bin of gap 20, which leaves fewer squares."""
+    assert P.place([50, 40, 40, 20], 100) == ([0, 0, 1, 1], [0, 50, 0, 40])
 
 
 def test_special_strings_and_languages():

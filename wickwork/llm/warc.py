@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wickwork.llm.common import cut, partitions, redealt, shared_dir
+from wickwork.session import remove_at_exit
 
 ARCHIVE_BYTES, GAP, SPAN = 64 << 20, 64 << 10, 8 << 20
 #: Fixed values of the WARC 1.1 format.
@@ -78,11 +79,16 @@ def parse(raw: bytes) -> dict:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    """A folder of its own that goes when the program ends."""
+    folder = f"{shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    remove_at_exit(spark, folder)
+    return folder
 
 
 def write(pages: DataFrame, folder: str, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, date: str = "2000-01-01T00:00:00Z") -> DataFrame:
-    """Writes the records; returns the index."""
+    """Writes the records; returns the index. page_id must be of an integer type."""
+    if pages.schema["page_id"].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError("page_id must be an integer")
     p = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     p = p.withColumns({"sha": F.sha1(F.encode("html", "UTF-8")), "size": F.octet_length("html")})
     same = p.where(F.col("size") >= min_bytes).groupBy(F.col("sha").alias("_sha"), F.col("size").alias("_size")).agg(F.max("page_id").alias("first"), F.count("*").alias("c")).where("c > 1")
@@ -141,9 +147,11 @@ def ranges(rows: list[tuple[int, int]], gap: int = GAP, span: int = SPAN) -> lis
     return out
 
 
-def read(index: DataFrame, folder: str) -> DataFrame:
-    """The records that the index rows name, parsed and checked; payload is null for revisits."""
-    kinds = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "payload": pa.binary()}
+def read(index: DataFrame, folder: str, payload: bool = True) -> DataFrame:
+    """The records that the index rows name, parsed and checked; payload is null for revisits. With payload=False payloads are checked, but don't leave the reading task."""
+    kinds = {"page_id": pa.int64(), "url": pa.string(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64()}
+    if payload:
+        kinds["payload"] = pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -161,13 +169,13 @@ def read(index: DataFrame, folder: str) -> DataFrame:
 
     n = partitions(index.sparkSession)
     rows = index.select("archive", "offset", "length").repartition(n, "archive", F.floor(F.col("offset") / SPAN)).sortWithinPartitions("archive", "offset")
-    return rows.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return rows.mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payload)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, **options) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page, from the archives."""
     folder = folder or new_folder(pages.sparkSession)
-    return read(write(pages, folder, **options), folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read(write(pages, folder, **options), folder, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 #: DuckDB SQL for round_trip(pages) with its defaults.
