@@ -187,8 +187,9 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, threshold:
     ))
     every = F.array(*(F.lit(h) for h in sorted({_hash(x) for b in sets.values() for x in b})))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    d = documents.select(F.xxhash64(text).alias("t"), bigrams(text).alias("b")).withColumn("some", F.array_intersect("b", every))
-    d = d.where(F.size("some") >= min(_least(len(b), threshold) for b in sets.values()))
+    # the filter names a column that isn't deterministic: pushed below the projections it would compute all of them again
+    d = documents.select(F.xxhash64(text).alias("t"), bigrams(text).alias("b"), F.monotonically_increasing_id().alias("_stay")).withColumn("some", F.array_intersect("b", every))
+    d = d.where((F.col("_stay") >= 0) & (F.size("some") >= min(_least(len(b), threshold) for b in sets.values())))
     d = d.withColumn("fit", F.filter(known, lambda k: F.size(F.array_intersect("some", k["b"])) >= k["least"])).where(F.size("fit") > 0)
     d = d.select("t", "b", F.transform("fit", lambda k: k["licence"]).alias("fit")).dropDuplicates(["t"])
     hits = d.select("t", "fit", F.posexplode("b").alias("p", "h"))
