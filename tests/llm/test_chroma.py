@@ -118,6 +118,24 @@ def test_a_common_tone(spark):
     assert not values.isEmpty() and pairs(values) < 0.8 * pairs(None)
 
 
+def test_common_integers_lose_nothing(spark, monkeypatch):
+    """Copies whose tones are common to all recordings: wherever the line for common integers is drawn, and however small the blocks, the pairs are those of brute force, with their offsets and hits."""
+    tones = [0.5 * np.sin(2 * np.pi * 440 * 2 ** (k / 12) * np.arange(3000) / 4000) for k in (0, 3, 7)]
+    recordings, r = {}, np.random.default_rng(8)
+    for k in range(24):
+        a = np.concatenate([tones[i][: 900 + 64 * int(r.integers(0, 30))] for i in r.permutation(3)] + [sound(300 + k, 1 + k % 3)])
+        recordings |= {100 * k: a, 100 * k + 1: a + r.normal(0, 0.002 * (1 + k % 4), len(a)), 100 * k + 2: np.concatenate([sound(400 + k, 0.5), a])}
+    prints, fps = prints_of(spark, recordings)
+    want = plainly(fps)
+    assert len(want) >= 40
+    for common, frames, cells in ((1000, 1 << 18, 1 << 20), (8, 1 << 18, 1 << 20), (8, 500, 1000), (0, 1 << 18, 1 << 20)):
+        monkeypatch.setattr(C, "TASK_FRAMES", frames, raising=False)
+        monkeypatch.setattr(C, "CELLS", cells, raising=False)
+        got = {(x["query_id"], x["match_id"]): (x["offset"], x["hits"], x["bit_error"]) for x in C.search(prints, "id", common=common).collect() if x["query_id"] != x["match_id"]}
+        assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}, common
+        assert all(abs(got[k][2] - want[k][2]) < 2e-6 for k in want)
+
+
 def test_repeated_ids_with_other_audio(spark):
     rows = [(100, C.write_wav(sound(1), 4000), 0, 0), (100, C.write_wav(sound(2), 4000), 0, 0), (7, C.write_wav(sound(2), 4000), 0, 0), (100, C.write_wav(sound(1), 4000), 0, 0)]
     got = sorted((r["query_id"], r["match_id"], r["copies"]) for r in C.search(C.fingerprints(frame(spark, rows), "id", "audio"), "id").collect())
