@@ -103,6 +103,27 @@ def test_joins_are_never_broadcast(documents):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_near_copies_come_through_the_tree(spark, monkeypatch):
+    """keep_one searches all texts' fingerprints with the tree and tests what it links on the whole sets; that alone joins light edits of long texts, the exact join adds the others."""
+    r, texts = random.Random(31), []
+    for g in range(20):
+        w = some_words(r, 1500)
+        near, far = list(w), list(w)
+        near[700], far[100:220] = some_words(r, 1)[0], some_words(r, 120)
+        texts += [" ".join(w), " ".join(near), " ".join(far), " ".join(some_words(r, 40))]
+    seen, links, verified = [], H.links, H._verified
+    monkeypatch.setattr(H, "links", lambda nodes, *a, **k: seen.append({x["fp"] for x in nodes.collect()}) or links(nodes, *a, **k))
+    tested = []
+    monkeypatch.setattr(H, "_verified", lambda *a: tested.append(verified(*a)) or tested[-1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(H, "release", lambda df: None)
+    assert sorted(x["doc_id"] for x in H.keep_one(df).collect()) == [i for i, x in enumerate(joined(texts)) if i == x]
+    assert len(seen) == 1 and seen[0] == {int(np.uint64(H.fingerprint(t, 5)).astype(np.int64)) for t in texts}
+    fp = [H.fingerprint(t, 5) for t in texts]
+    close = sum((fp[i] ^ fp[i + 1]).bit_count() <= 2 for i in range(0, 80, 4))
+    assert tested[0].count() >= close >= 5
+
+
 def test_central_texts_join_large_groups(spark):
     """600 copies of a text, each with three words changed: most pairs of them are not similar, all are to the text. The first pass joins them, so that no pairs of all with all are left."""
     r = random.Random(21)

@@ -12,12 +12,12 @@ of near copies) is salted: its nodes get one of g salts, and each pair of salts
 task the same pruning goes on down to blocks that are compared whole. A task returns a spanning forest of its links,
 never all pairs, and a distributed star contraction joins the forests.
 
-For near copies at a given Jaccard similarity of their sets of shingles (``similar``, ``keep_one``) fingerprints only estimate. There the sets are
-joined exactly, by prefix filter: with each set sorted by how many texts hold a shingle, two sets can reach the similarity s only if they share
-one of the first n - ceil(s n) + 1 of their n shingles, and enough of them are left from the first shared one on. Shingles of a single text come first in
+For near copies at a given Jaccard similarity of their sets of shingles (``similar``, ``keep_one``) the tree gives the first candidates: all texts' fingerprints go through it, and texts of equal or linked
+ones are tested on their whole sets. What fingerprints that differ in more bits leave apart, and links that fail the test, is the part of an exact join by prefix filter: with each set sorted by how many texts hold a shingle, two sets can reach
+the similarity s only if they share one of the first n - ceil(s n) + 1 of their n shingles, and enough of them are left from the first shared one on. Shingles of a single text come first in
 that order and are never keys, so a text with too few others has no near copies and is left out. That is found out in two steps: shingles whose hashes fall into
 ``LOW`` 256ths of all values are counted first, and only texts that can still have enough shared ones send the others. Each candidate pair is tested on the whole sets.
-The join runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with two of them, the one with the smallest share of
+The join takes only keys whose texts the passes before it left in several components. It runs twice, so that a large group of near copies makes no pairs of all with all: first each key's texts with two of them, the one with the smallest share of
 shingles of its own, which is the likeliest to be near the others, and one by lot; then,
 between the components that this gives, all that is left: whatever two texts of a key are not connected yet is compared.
 Joins whose sides grow with the corpus are by merge; none is broadcast.
@@ -318,9 +318,29 @@ def _verified(pairs: DataFrame, lists: DataFrame, similarity: float) -> DataFram
     return pairs.where(common >= similarity * (F.col("n_u") + F.col("n_v") - common) - 1e-6).select("u", "v")
 
 
+def candidates(documents: DataFrame, shingle: int, radius: int = 2) -> DataFrame:
+    """(u, v): pairs of texts, by their hashes, that connect all whose fingerprints are equal or linked by the tree: each with the first of its fingerprint, and the first ones of linked fingerprints."""
+    fps = keep(fingerprints(documents, shingle).select("t", "fp").distinct())
+    nodes = keep(fps.groupBy("fp").agg(F.min("t").alias("head")))
+    pairs = links(nodes, radius)
+    for end in ("u", "v"):
+        pairs = pairs.join(nodes.select(F.col("fp").alias("_fp"), F.col("head").alias(f"h_{end}")).hint("merge"), F.col(end) == F.col("_fp")).drop("_fp")
+    equal = fps.join(nodes.select(F.col("fp").alias("_fp"), "head").hint("merge"), F.col("fp") == F.col("_fp")).where("t <> head")
+    found = keep(equal.select(F.col("t").alias("u"), F.col("head").alias("v")).union(pairs.select("h_u", "h_v")))
+    release(fps)
+    release(nodes)
+    return found
+
+
 def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, t, root) per document: root is equal for documents that links connect."""
+    guesses = candidates(documents, shingle)
     lists = _lists(documents, shingle, similarity)
+    near = keep(_verified(guesses, lists, similarity))
+    release(guesses)
+
+    def with_roots(edges: DataFrame) -> DataFrame:
+        return keep(lists.join(components(edges).hint("merge"), F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
 
     def keys(rows: DataFrame, *columns: str) -> DataFrame:
         """The prefix of each list by key h; left is how many of the text's shingles come from there on."""
@@ -334,14 +354,16 @@ def similar(documents: DataFrame, shingle: int = 5, similarity: float = 0.8) ->
         return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
     own_share = (F.col("n") - F.col("m")) / F.col("n")
-    lots = [F.min(F.struct(o.alias("o"), F.xxhash64("t").alias("x"), "t", "n", "left")).alias(f"r{i}") for i, o in enumerate((own_share, F.lit(0.0)))]
-    drawn = keys(lists.withColumn("m", F.size("own")), "m").groupBy("h").agg(F.count("*").alias("c"), *lots).where("c > 1")
-    drawn = drawn.select(redealt(F.col("h")).alias("q"), F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"r{i}")[x].alias(f"r_{x}") for x in ("t", "n", "left"))) for i in (0, 1))))).alias("r")).select("q", "r.*")
-    pairs = keys(lists).join(drawn.hint("merge"), F.col("h") == F.col("q")).where((F.col("t") != F.col("r_t")) & can("", "r_")).select(*both("t", "r_t")).distinct()
-    first = keep(_verified(pairs, lists, similarity))
-
-    roots = components(first)
-    rooted = keep(lists.join(roots.hint("merge"), F.col("t") == F.col("node"), "left").select("t", "n", "own", "more", F.coalesce("root", "t").alias("root")))
+    tied = with_roots(near)
+    drawn = [F.min(F.struct(o.alias("o"), F.xxhash64("t").alias("x"), "t", "n", "left", "root")).alias(f"r{i}") for i, o in enumerate((own_share, F.lit(0.0)))]
+    drawn = keys(tied.withColumn("m", F.size("own")), "m", "root").groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), *drawn).where("a <> b")
+    drawn = drawn.select(redealt(F.col("h")).alias("q"), F.explode(F.array_distinct(F.array(*(F.struct(*(F.col(f"r{i}")[x].alias(f"r_{x}") for x in ("t", "n", "left", "root"))) for i in (0, 1))))).alias("r")).select("q", "r.*")
+    pairs = keys(tied, "root").join(drawn.hint("merge"), F.col("h") == F.col("q")).where((F.col("root") != F.col("r_root")) & can("", "r_")).select(*both("t", "r_t")).distinct()
+    first = keep(near.union(_verified(pairs, lists, similarity)))
+    release(tied)
+    release(near)
+
+    rooted = with_roots(first)
     per = keys(rooted, "root").groupBy("h", "root").agg(F.count("*").alias("c"))
     per = per.groupBy("h").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("most")).where("roots > 1")
     per = per.select(redealt(F.col("h")).alias("q"), F.col("most.root").alias("most"))
